@@ -114,3 +114,201 @@ def q_graph_metrics(spark, sf_dir):
 @register("graph_metrics_sparse", with_(SPARSE, PAIRS, EDGES, METRICS) + "SELECT * FROM metrics")
 def q_graph_metrics_sparse(spark, sf_dir):
     return round_doubles(graph.graph_metrics(fx.authorship_sparse(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# Ego tables and author periods
+
+from copub.operators import ego, periods  # noqa: E402
+
+
+def periods_cte(plist) -> str:
+    vals = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(plist))
+    return f"periods AS (SELECT * FROM (VALUES {vals}) t(pidx, y1, y2))"
+
+
+EGO = """e AS (SELECT year, src, dst, count(*) AS n FROM pairs GROUP BY year, src, dst),
+np AS (SELECT author_id, year, count(*) AS papers FROM authorship GROUP BY author_id, year),
+tot AS (SELECT a.author_id, count(DISTINCT e.dst) AS num_collaborators
+        FROM (SELECT DISTINCT author_id FROM authorship) a LEFT JOIN e ON e.src = a.author_id
+        GROUP BY a.author_id)"""
+
+
+def period_long_sql(fixture: str, plist, measure: str = "similarity", rounded: bool = True) -> str:
+    """Independent formulation: theta join on the periods, windows over the list."""
+    cos = "dot / (n1 * n2)" if measure == "similarity" else "1 - dot / (n1 * n2)"
+    if rounded:
+        cos = f"round({cos}, 9)"
+    return with_(fixture, periods_cte(plist), PAIRS, EGO, f"""ac AS (
+  SELECT src, dst, pidx, sum(CASE WHEN year = y1 THEN n ELSE 0 END) AS c1,
+         sum(CASE WHEN year = y2 THEN n ELSE 0 END) AS c2
+  FROM e JOIN periods ON year = y1 OR year = y2 GROUP BY src, dst, pidx),
+fl AS (SELECT *, lag(pidx) OVER (PARTITION BY src, dst ORDER BY pidx) AS prev_pidx,
+              row_number() OVER (PARTITION BY src, dst ORDER BY pidx) AS rn FROM ac),
+ag AS (SELECT src, pidx, sum(c1) AS s1, sum(c2) AS s2, count(*) AS num,
+              sum(CASE WHEN prev_pidx IS NULL OR prev_pidx < pidx - 1 THEN 1 ELSE 0 END) AS gp,
+              sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS ga,
+              sum(c1 * c2) AS dot, sqrt(sum(c1 * c1)) AS n1, sqrt(sum(c2 * c2)) AS n2
+       FROM fl GROUP BY src, pidx),
+lng AS (
+  SELECT t.author_id, CAST(t.num_collaborators AS BIGINT) AS num_collaborators,
+         CAST(p.pidx AS INT) AS pidx, CAST(p.y1 AS INT) AS y1, CAST(p.y2 AS INT) AS y2,
+         CASE WHEN ag.src IS NULL THEN 99.0 WHEN ag.s1 = 0 THEN 98.0 WHEN ag.s2 = 0 THEN 97.0
+              ELSE {cos} END AS cosine,
+         CAST(coalesce(ag.num, 0) AS BIGINT) AS num_collaborations,
+         CAST(coalesce(ag.gp, 0) AS BIGINT) AS gain_prev,
+         CAST(coalesce(ag.ga, 0) AS BIGINT) AS gain_abs,
+         CAST((CASE WHEN ag.s1 > 0 THEN np1.papers ELSE 0 END)
+              + (CASE WHEN ag.s2 > 0 THEN np2.papers ELSE 0 END) AS BIGINT) AS num_papers
+  FROM tot t CROSS JOIN periods p
+  LEFT JOIN ag ON ag.src = t.author_id AND ag.pidx = p.pidx
+  LEFT JOIN np np1 ON np1.author_id = t.author_id AND np1.year = p.y1
+  LEFT JOIN np np2 ON np2.author_id = t.author_id AND np2.year = p.y2)
+""")
+
+
+def period_wide_sql(fixture: str, names_sql: str, plist) -> str:
+    cols = []
+    for i, (a, b) in enumerate(plist):
+        for field, prefix in periods.WIDE_PREFIXES:
+            cols.append(f"max(CASE WHEN pidx = {i} THEN {field} END) AS {prefix}{a}_{b}")
+    return period_long_sql(fixture, plist) + f""", nm AS ({names_sql})
+SELECT lng.author_id AS id, nm.name, max(lng.num_collaborators) AS num_Collaborations,
+       {", ".join(cols)}
+FROM lng LEFT JOIN nm ON nm.author_id = lng.author_id
+GROUP BY lng.author_id, nm.name"""
+
+
+NAMES_SPARSE = "SELECT c_custkey AS author_id, c_name AS name FROM customer"
+NAMES_DENSE = "SELECT s_suppkey AS author_id, s_name AS name FROM supplier"
+IDS_SPARSE = """SELECT DISTINCT l_partkey * 1000000 + CAST(year(o_orderdate) AS BIGINT) * 100
+                + CAST(month(o_orderdate) AS BIGINT) AS id
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""
+IDS_DENSE = "SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'"
+
+EGO_COUNTS_SQL = "SELECT src AS author_id, year, dst AS collab_id, CAST(n AS BIGINT) AS n FROM e"
+
+
+def _sparse(spark, sf_dir):
+    return fx.authorship_sparse(spark, sf_dir)
+
+
+def _dense(spark, sf_dir):
+    return fx.authorship_dense(spark, sf_dir)
+
+
+@register("ego_collab_counts", with_(SPARSE, PAIRS, EGO) + EGO_COUNTS_SQL)
+def q_ego_collab_counts(spark, sf_dir):
+    return ego.collab_counts(ego.links_from_authorship(_sparse(spark, sf_dir)))
+
+
+@register(
+    "ego_filtered",
+    with_(SPARSE.replace("authorship AS", "base AS"), f"ids AS ({IDS_SPARSE})",
+          "authorship AS (SELECT * FROM base WHERE paper_id IN (SELECT id FROM ids))", PAIRS, EGO)
+    + EGO_COUNTS_SQL,
+)
+def q_ego_filtered(spark, sf_dir):
+    kept = ego.keep_papers(_sparse(spark, sf_dir), fx.topic_ids_sparse(spark, sf_dir))
+    return ego.collab_counts(ego.links_from_authorship(kept))
+
+
+@register(
+    "ego_year_papers",
+    with_(SPARSE, PAIRS, EGO) + "SELECT author_id, year, CAST(papers AS BIGINT) AS papers FROM np",
+)
+def q_ego_year_papers(spark, sf_dir):
+    return ego.year_papers(ego.paper_rows_from_authorship(_sparse(spark, sf_dir)))
+
+
+@register(
+    "ego_zero_filled",
+    with_(SPARSE, PAIRS, EGO, """yrs AS (SELECT DISTINCT src, year FROM e),
+cl AS (SELECT DISTINCT src, dst FROM e)""")
+    + """SELECT yrs.src AS author_id, yrs.year, cl.dst AS collab_id, CAST(coalesce(e.n, 0) AS BIGINT) AS n
+FROM yrs JOIN cl ON yrs.src = cl.src
+LEFT JOIN e ON e.src = yrs.src AND e.year = yrs.year AND e.dst = cl.dst""",
+)
+def q_ego_zero_filled(spark, sf_dir):
+    return ego.zero_filled(ego.collab_counts(ego.links_from_authorship(_sparse(spark, sf_dir))))
+
+
+@register(
+    "author_totals",
+    with_(SPARSE, PAIRS, EGO, f"nm AS ({NAMES_SPARSE})")
+    + """SELECT tot.author_id, nm.name, CAST(tot.num_collaborators AS BIGINT) AS num_collaborators
+FROM tot LEFT JOIN nm ON nm.author_id = tot.author_id""",
+)
+def q_author_totals(spark, sf_dir):
+    a = _sparse(spark, sf_dir)
+    return ego.totals(ego.links_from_authorship(a), ego.paper_rows_from_authorship(a), fx.names_sparse(spark, sf_dir))
+
+
+@register("ego_incremental", with_(SPARSE, PAIRS, EGO) + EGO_COUNTS_SQL)
+def q_ego_incremental(spark, sf_dir):
+    a = _sparse(spark, sf_dir)
+    early = ego.collab_counts(ego.links_from_authorship(a.where(F.col("year") < 1998)))
+    late = ego.collab_counts(ego.links_from_authorship(a.where(F.col("year") >= 1998)))
+    return ego.merge_counts(early, late)
+
+
+def _period_long(authorship, periods_list, measure="similarity"):
+    return round_doubles(
+        periods.period_long(
+            ego.links_from_authorship(authorship), ego.paper_rows_from_authorship(authorship), periods_list, measure
+        )
+    )
+
+
+@register("author_period_long", period_long_sql(SPARSE, fx.TEST_PERIODS) + "SELECT * FROM lng")
+def q_author_period_long(spark, sf_dir):
+    return _period_long(_sparse(spark, sf_dir), fx.TEST_PERIODS)
+
+
+@register("author_period_long_dense", period_long_sql(DENSE, fx.TEST_PERIODS) + "SELECT * FROM lng")
+def q_author_period_long_dense(spark, sf_dir):
+    return _period_long(_dense(spark, sf_dir), fx.TEST_PERIODS)
+
+
+@register(
+    "author_period_distance", period_long_sql(DENSE, fx.TEST_PERIODS, "distance") + "SELECT * FROM lng"
+)
+def q_author_period_distance(spark, sf_dir):
+    return _period_long(_dense(spark, sf_dir), fx.TEST_PERIODS, "distance")
+
+
+@register("author_period_wide", period_wide_sql(DENSE, NAMES_DENSE, fx.TEST_PERIODS))
+def q_author_period_wide(spark, sf_dir):
+    a = _dense(spark, sf_dir)
+    return round_doubles(
+        periods.period_wide(
+            ego.links_from_authorship(a), ego.paper_rows_from_authorship(a), fx.TEST_PERIODS,
+            fx.names_dense(spark, sf_dir),
+        )
+    )
+
+
+@register(
+    "author_period_wide_sparse", period_wide_sql(SPARSE, NAMES_SPARSE, fx.BENCH_PERIODS)
+)
+def q_author_period_wide_sparse(spark, sf_dir):
+    a = _sparse(spark, sf_dir)
+    return round_doubles(
+        periods.period_wide(
+            ego.links_from_authorship(a), ego.paper_rows_from_authorship(a), fx.BENCH_PERIODS,
+            fx.names_sparse(spark, sf_dir),
+        )
+    )
+
+
+@register(
+    "mean_in_range",
+    period_long_sql(DENSE, fx.TEST_PERIODS, rounded=False)
+    + """SELECT CAST(pidx AS INT) AS pidx,
+       round(avg(DISTINCT CASE WHEN cosine <= 1 THEN cosine END), 9) AS mean_cosine
+FROM lng GROUP BY pidx""",
+)
+def q_mean_in_range(spark, sf_dir):
+    a = _dense(spark, sf_dir)
+    long_df = periods.period_long(ego.links_from_authorship(a), ego.paper_rows_from_authorship(a), fx.TEST_PERIODS)
+    return round_doubles(periods.mean_in_range(long_df))
