@@ -312,3 +312,227 @@ def q_mean_in_range(spark, sf_dir):
     a = _dense(spark, sf_dir)
     long_df = periods.period_long(ego.links_from_authorship(a), ego.paper_rows_from_authorship(a), fx.TEST_PERIODS)
     return round_doubles(periods.mean_in_range(long_df))
+
+
+# --------------------------------------------------------------------------
+# Papers, flags, topic ids
+
+from copub.operators import papers as pp  # noqa: E402
+from copub.session import scratch_path  # noqa: E402
+from copub.sources import exports as ex  # noqa: E402
+from copub.sources import papers_csv, stores, topics  # noqa: E402
+
+PAPERS_SUMMARY_SQL = """SELECT paper_id, year, CAST(count(*) AS INT) AS n_authors,
+       string_agg(CAST(author_id AS VARCHAR), ',' ORDER BY author_id) AS authors_csv
+FROM authorship GROUP BY paper_id, year"""
+
+
+@register("papers_table", with_(DENSE) + PAPERS_SUMMARY_SQL)
+def q_papers_table(spark, sf_dir):
+    return pp.papers_summary(fx.papers_dense(spark, sf_dir))
+
+
+@register("papers_dedup", with_(DENSE) + PAPERS_SUMMARY_SQL)
+def q_papers_dedup(spark, sf_dir):
+    # every paper is in the export of each of its authors: dedup by id
+    rows = fx.exports_from_authorship(_dense(spark, sf_dir), fx.names_dense(spark, sf_dir))
+    rows = rows.withColumn("_order", F.struct(F.col("author_file")))
+    return pp.papers_summary(pp.papers_from_exports(rows))
+
+
+@register("papers_in_year", with_(DENSE) + "SELECT DISTINCT paper_id, year FROM authorship WHERE year = 1997")
+def q_papers_in_year(spark, sf_dir):
+    return graph.papers_in_year(fx.papers_dense(spark, sf_dir), 1997).select("paper_id", "year")
+
+
+@register(
+    "papers_per_year",
+    with_(DENSE) + "SELECT year, CAST(count(DISTINCT paper_id) AS BIGINT) AS papers FROM authorship GROUP BY year",
+)
+def q_papers_per_year(spark, sf_dir):
+    return pp.papers_per_year(fx.papers_dense(spark, sf_dir))
+
+
+FLAG_SQL = with_(DENSE, f"ids AS ({IDS_DENSE})") + """SELECT DISTINCT a.paper_id, '10.0/' || CAST(a.paper_id AS VARCHAR) AS doi,
+       CASE WHEN a.paper_id IN (SELECT id FROM ids) THEN 1 ELSE 0 END AS flag
+FROM authorship a"""
+
+
+@register("flag_papers", FLAG_SQL)
+def q_flag_papers(spark, sf_dir):
+    return pp.flag_papers(fx.papers_dense(spark, sf_dir), fx.topic_ids_dense(spark, sf_dir))
+
+
+@register(
+    "topic_ids_intersect",
+    with_(DENSE, f"ids AS ({IDS_DENSE})") + "SELECT paper_id FROM authorship INTERSECT SELECT id FROM ids",
+)
+def q_topic_ids_intersect(spark, sf_dir):
+    return pp.topic_intersect(fx.papers_dense(spark, sf_dir), fx.topic_ids_dense(spark, sf_dir))
+
+
+@register(
+    "topic_ids_except",
+    with_(DENSE, f"ids AS ({IDS_DENSE})") + "SELECT paper_id FROM authorship EXCEPT SELECT id FROM ids",
+)
+def q_topic_ids_except(spark, sf_dir):
+    return pp.topic_except(fx.papers_dense(spark, sf_dir), fx.topic_ids_dense(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# More graph reports
+
+DEGREES_SQL = """SELECT year, id, CAST(count(*) AS BIGINT) AS degree FROM (
+  SELECT year, src AS id FROM edges UNION ALL SELECT year, dst AS id FROM edges) GROUP BY year, id"""
+
+
+@register("graph_degrees", with_(DENSE, PAIRS, EDGES) + DEGREES_SQL)
+def q_graph_degrees(spark, sf_dir):
+    return graph.degrees(graph.edges(_dense(spark, sf_dir)))
+
+
+@register(
+    "graph_metrics_long",
+    with_(DENSE, PAIRS, EDGES, METRICS) + """SELECT year, metric, round(value, 9) AS value FROM (
+  SELECT year, 'number of vertices' AS metric, CAST(n_vertices AS DOUBLE) AS value FROM metrics
+  UNION ALL SELECT year, 'number of edges', CAST(n_edges AS DOUBLE) FROM metrics
+  UNION ALL SELECT year, 'average degree', avg_degree FROM metrics
+  UNION ALL SELECT year, 'density', density FROM metrics)""",
+)
+def q_graph_metrics_long(spark, sf_dir):
+    return round_doubles(graph.metrics_long(graph.graph_metrics(_dense(spark, sf_dir))))
+
+
+@register(
+    "edges_preview",
+    with_(DENSE, PAIRS, EDGES) + "SELECT * FROM edges ORDER BY year, src, dst LIMIT 10",
+)
+def q_edges_preview(spark, sf_dir):
+    return graph.edges_preview(graph.edges(_dense(spark, sf_dir)), 10)
+
+
+EDGES_LIMITED_YEAR = 1997
+EDGES_LIMITED_N = 1000
+
+
+@register(
+    "edges_limited",
+    with_(DENSE.replace("authorship AS", "base AS"),
+          f"""kept AS (SELECT DISTINCT paper_id FROM base WHERE year = {EDGES_LIMITED_YEAR}
+            ORDER BY paper_id LIMIT {EDGES_LIMITED_N})""",
+          "authorship AS (SELECT * FROM base WHERE paper_id IN (SELECT paper_id FROM kept))",
+          PAIRS, EDGES) + "SELECT * FROM edges",
+)
+def q_edges_limited(spark, sf_dir):
+    return graph.edges_limited(_dense(spark, sf_dir), EDGES_LIMITED_YEAR, EDGES_LIMITED_N)
+
+
+# --------------------------------------------------------------------------
+# Round trips through the sources and sinks (written under the checkpoint dir)
+
+
+@register("csv_roundtrip", with_(DENSE) + PAPERS_SUMMARY_SQL)
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "papers-csv")
+    papers_csv.write_papers_csv(fx.papers_dense(spark, sf_dir), path)
+    return pp.papers_summary(papers_csv.read_papers_csv(spark, path))
+
+
+@register("edges_from_csv", with_(DENSE, PAIRS, EDGES) + "SELECT * FROM edges")
+def q_edges_from_csv(spark, sf_dir):
+    path = scratch_path(spark, "papers-csv")
+    papers_csv.write_papers_csv(fx.papers_dense(spark, sf_dir), path)
+    papers = papers_csv.read_papers_csv(spark, path)
+    # rows with more than 4 authors take the spread (repartitioned) branch
+    return graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=4))
+
+
+@register("json_roundtrip", with_(DENSE) + PAPERS_SUMMARY_SQL)
+def q_json_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "exports")
+    ex.write_exports(fx.exports_from_authorship(_dense(spark, sf_dir), fx.names_dense(spark, sf_dir)), path)
+    return pp.papers_summary(pp.papers_from_exports(ex.read_exports(spark, path)))
+
+
+def _sparse_exports_on_disk(spark, sf_dir) -> str:
+    path = scratch_path(spark, "exports")
+    ex.write_exports(fx.exports_from_authorship(_sparse(spark, sf_dir), fx.names_sparse(spark, sf_dir)), path)
+    return path
+
+
+@register("ego_from_files", with_(SPARSE, PAIRS, EGO) + EGO_COUNTS_SQL)
+def q_ego_from_files(spark, sf_dir):
+    rows = ex.read_exports(spark, _sparse_exports_on_disk(spark, sf_dir))
+    return ego.collab_counts(ego.links_from_exports(rows))
+
+
+@register(
+    "author_names_from_files",
+    with_(SPARSE) + """SELECT DISTINCT a.author_id, c.c_name AS name
+FROM authorship a LEFT JOIN customer c ON c.c_custkey = a.author_id""",
+)
+def q_author_names_from_files(spark, sf_dir):
+    rows = ex.read_exports(spark, _sparse_exports_on_disk(spark, sf_dir))
+    return ego.names_from_exports(rows)
+
+
+@register("author_period_from_files", period_long_sql(SPARSE, fx.TEST_PERIODS) + "SELECT * FROM lng")
+def q_author_period_from_files(spark, sf_dir):
+    rows = ex.read_exports(spark, _sparse_exports_on_disk(spark, sf_dir))
+    return round_doubles(
+        periods.period_long(ego.links_from_exports(rows), ego.paper_rows_from_exports(rows), fx.TEST_PERIODS)
+    )
+
+
+@register("topic_ids_from_json", IDS_DENSE)
+def q_topic_ids_from_json(spark, sf_dir):
+    path = scratch_path(spark, "topics")
+    topics.write_topic_ids(fx.topic_ids_dense(spark, sf_dir), path, rows_per_file=1000)
+    return topics.read_topic_ids(spark, path)
+
+
+@register("graph_roundtrip", with_(DENSE, PAIRS, EDGES) + "SELECT * FROM edges")
+def q_graph_roundtrip(spark, sf_dir):
+    a = _dense(spark, sf_dir)
+    path = scratch_path(spark, "graph")
+    stores.write_graph(graph.vertices(a), graph.edges(a), path)
+    return stores.read_graph(spark, path)[1]
+
+
+@register(
+    "graph_metrics_from_store",
+    with_(DENSE, PAIRS, EDGES, METRICS) + "SELECT * FROM metrics",
+)
+def q_graph_metrics_from_store(spark, sf_dir):
+    a = _dense(spark, sf_dir)
+    path = scratch_path(spark, "graph")
+    stores.write_graph(graph.vertices(a), graph.edges(a), path)
+    v, e = stores.read_graph(spark, path)
+    return round_doubles(graph.metrics(v, e))
+
+
+@register("ego_roundtrip", with_(SPARSE, PAIRS, EGO) + EGO_COUNTS_SQL)
+def q_ego_roundtrip(spark, sf_dir):
+    a = _sparse(spark, sf_dir)
+    path = scratch_path(spark, "ego")
+    stores.write_ego(
+        ego.collab_counts(ego.links_from_authorship(a)),
+        ego.year_papers(ego.paper_rows_from_authorship(a)),
+        fx.names_sparse(spark, sf_dir),
+        path,
+    )
+    return stores.read_ego(spark, path)[0]
+
+
+@register("author_period_from_store", period_long_sql(SPARSE, fx.TEST_PERIODS) + "SELECT * FROM lng")
+def q_author_period_from_store(spark, sf_dir):
+    a = _sparse(spark, sf_dir)
+    path = scratch_path(spark, "ego")
+    stores.write_ego(
+        ego.collab_counts(ego.links_from_authorship(a)),
+        ego.year_papers(ego.paper_rows_from_authorship(a)),
+        None,
+        path,
+    )
+    counts, year_papers, _ = stores.read_ego(spark, path, with_names=False)
+    return round_doubles(periods.period_long(counts, year_papers, fx.TEST_PERIODS))

@@ -95,3 +95,23 @@ def papers_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_set("author_id")).alias("authors"))
         .select("paper_id", "year", F.concat(F.lit("10.0/"), F.col("paper_id").cast("string")).alias("doi"), "authors")
     )
+
+
+def exports_from_authorship(authorship: DataFrame, names: DataFrame) -> DataFrame:
+    """Export rows ``(author_file, paper_id, year, doi, authors)``.
+
+    Each author's file holds each of their papers with the paper's full
+    author list (id, name), as in the per-author export format.  The lists
+    are built per fixture paper, which has a handful of authors.
+    """
+    lists = (
+        authorship.join(names, "author_id", "left")
+        .groupBy("paper_id", "year")
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("author_id").alias("id"), "name"))).alias("authors"))
+    )
+    return authorship.select(F.col("author_id").alias("author_file"), "paper_id", "year").join(
+        lists, ["paper_id", "year"]
+    ).select(
+        "author_file", "paper_id", "year",
+        F.concat(F.lit("10.0/"), F.col("paper_id").cast("string")).alias("doi"), "authors",
+    )
