@@ -536,3 +536,39 @@ def q_author_period_from_store(spark, sf_dir):
     )
     counts, year_papers, _ = stores.read_ego(spark, path, with_names=False)
     return round_doubles(periods.period_long(counts, year_papers, fx.TEST_PERIODS))
+
+
+# --------------------------------------------------------------------------
+# Streaming: the dense exports arrive in two drops (before / from 1998)
+
+from copub.streaming import incremental  # noqa: E402
+
+
+def _stream_two_drops(spark, sf_dir):
+    a = _dense(spark, sf_dir)
+    rows = fx.exports_from_authorship(a, fx.names_dense(spark, sf_dir))
+    landing = scratch_path(spark, "landing")
+    sink = scratch_path(spark, "ego-stream")
+    ckpt = scratch_path(spark, "ego-stream-ckpt")
+    for part in (rows.where(F.col("year") < 1998), rows.where(F.col("year") >= 1998)):
+        ex.write_exports(part, landing, mode="append")
+        q = incremental.start_ego_stream(spark, landing, sink, ckpt, available_now=True)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return sink
+
+
+@register("ego_stream", with_(DENSE, PAIRS, EGO) + EGO_COUNTS_SQL)
+def q_ego_stream(spark, sf_dir):
+    return incremental.read_stream_counts(spark, _stream_two_drops(spark, sf_dir))
+
+
+@register("author_period_stream", period_long_sql(DENSE, fx.TEST_PERIODS) + "SELECT * FROM lng")
+def q_author_period_stream(spark, sf_dir):
+    sink = _stream_two_drops(spark, sf_dir)
+    return round_doubles(
+        periods.period_long(
+            incremental.read_stream_counts(spark, sink), incremental.read_stream_papers(spark, sink), fx.TEST_PERIODS
+        )
+    )
