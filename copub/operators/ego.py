@@ -35,7 +35,7 @@ def links_from_authorship(authorship: DataFrame) -> DataFrame:
 
 def paper_rows_from_authorship(authorship: DataFrame) -> DataFrame:
     """``(author_id, year, papers=1)`` per authorship row (aggregate later)."""
-    return authorship.select("author_id", "year", F.lit(1).cast("bigint").alias("papers"))
+    return graph.authorship_rows(authorship).select("author_id", "year", F.lit(1).cast("bigint").alias("papers"))
 
 
 def collab_counts(links: DataFrame) -> DataFrame:

@@ -17,15 +17,17 @@ Input shapes:
 
 Scale notes.  The edges of a paper with k authors are its k(k-1) ordered
 pairs; they are the output, so they must be produced, but never all in one
-task: the long form pairs through an equi-join on the paper (AQE's skew-join
-splits a hot paper's partition on both sides), and the array form sends rows
-whose author list exceeds ``spread_above`` through a repartition before the
-second explode.  Every aggregation below is partial + final (map-side
+task: papers are paired by a self-join on (paper, cell), where a paper with
+more than ``BLOCK_AUTHORS`` authors is cut into blocks whose cells spread its
+pairs over many tasks (input and output skew alike).  In the array form,
+short lists pair inside their scan task and long ones take the blocked join.  Every aggregation below is partial + final (map-side
 combine), so a hot key (one year, one author) never lands whole in one task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,49 +45,112 @@ METRIC_TITLES = {
 BROADCAST_IDS_MAX = 1_000_000
 
 
-def coauthor_pairs(authorship: DataFrame) -> DataFrame:
-    """Ordered co-author pairs ``(year, src, dst)``, one row per shared paper.
+def authorship_rows(authorship: DataFrame) -> DataFrame:
+    """``(paper_id, year, author_id)`` with NULL keys dropped.
 
-    Equi-join of the authorship table with itself on ``(paper_id, year)``;
-    both sides are the same subtree, so the shuffle runs once (reused
-    exchange).  Rows must be unique per (paper_id, author_id).
+    Every consumer of an authorship table starts from this same projection
+    and filter (the pair join would infer the filter anyway), so within one
+    plan all branches share one subtree and Spark reuses its exchange instead
+    of computing the authorship table once per branch.
     """
-    a = authorship.select("paper_id", "year", F.col("author_id").alias("src"))
-    b = authorship.select("paper_id", "year", F.col("author_id").alias("dst"))
-    return (
-        a.join(b, ["paper_id", "year"], "inner")
-        .where(F.col("src") != F.col("dst"))
-        .select("year", "src", "dst")
+    return authorship.select("paper_id", "year", "author_id").where(
+        F.col("paper_id").isNotNull() & F.col("year").isNotNull() & F.col("author_id").isNotNull()
+    )
+
+
+# Papers with more authors than this are paired block by block.
+BLOCK_AUTHORS = 2048
+# Salts of the join that tags rows of oversized papers with their size.
+TAG_SALTS = 64
+
+
+def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
+    """Rows of ``keys + author_id`` -> rows tagged with pairing cells.
+
+    A basket (paper) of n authors gets s = ceil(n / block_authors) blocks;
+    author u in block b takes part in cells (b, j) as left side and (j, b) as
+    right side, j = 0..s-1 (one row, both sides, on the diagonal).  The
+    ordered pair (u, v) then meets in exactly one cell, (block(u), block(v)),
+    and each cell holds about ``block_authors`` authors per side.  For s = 1
+    this is one row per author, cell 0.  The replication (2s - 1 rows per
+    author) is about n / block_authors, small next to the n^2 pairs.
+    """
+    # Size of each basket (partial aggregation); only the oversized ones are
+    # joined back, salted: a hot basket's rows spread over TAG_SALTS tasks,
+    # and the short list of oversized baskets is replicated TAG_SALTS times.
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    big = sizes.where(F.col("_n") > F.lit(int(block_authors))).select(
+        *keys, "_n", F.explode(F.sequence(F.lit(0), F.lit(TAG_SALTS - 1))).alias("_salt")
+    )
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("author_id"), F.lit(TAG_SALTS)).cast("int"))
+    tagged = salted.join(big, keys + ["_salt"], "left")
+    s = F.when(F.col("_n").isNull(), F.lit(1)).otherwise(F.ceil(F.col("_n") / F.lit(int(block_authors)))).cast("int")
+    tagged = tagged.select(*keys, "author_id", s.alias("_s")).withColumn(
+        "_b", F.pmod(F.xxhash64("author_id"), F.col("_s")).cast("int")
+    )
+    js = F.sequence(F.lit(0), F.col("_s") - 1)
+    s_, b = F.col("_s"), F.col("_b")
+    as_left = F.transform(js, lambda j: F.struct(
+        (b * s_ + j).alias("cell"), F.lit(1).alias("is_l"), F.when(j == b, 1).otherwise(0).alias("is_r")))
+    as_right = F.transform(F.filter(js, lambda j: j != b), lambda j: F.struct(
+        (j * s_ + b).alias("cell"), F.lit(0).alias("is_l"), F.lit(1).alias("is_r")))
+    return tagged.select(*keys, "author_id", F.explode(F.concat(as_left, as_right)).alias("c")).select(
+        *keys, "author_id", "c.cell", "c.is_l", "c.is_r"
     )
 
 
+def _pairs(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
+    cells = _block_cells(rows, keys, block_authors).repartition(*keys, "cell")
+    a, b = cells.alias("a"), cells.alias("b")
+    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys + ["cell"]]
+    cond.append(F.col("a.author_id") != F.col("b.author_id"))
+    # one two-sided test (not pushed into either side), so both sides stay
+    # the same plan and share one exchange
+    cond.append(F.col("a.is_l") * F.col("b.is_r") == F.lit(1))
+    j = a.join(b, reduce(lambda x, y: x & y, cond), "inner")
+    return j.select(*[F.col(f"a.{k}").alias(k) for k in keys],
+                    F.col("a.author_id").alias("src"), F.col("b.author_id").alias("dst"))
+
+
+def coauthor_pairs(authorship: DataFrame, block_authors: int = BLOCK_AUTHORS) -> DataFrame:
+    """Ordered co-author pairs ``(year, src, dst)``, one row per shared paper.
+
+    Equi-join of the authorship table with itself on the paper (and its
+    pairing cell, see ``_block_cells``); both sides are the same subtree, so
+    the shuffle is written once and read by both.  A paper with more than
+    ``block_authors`` authors is paired by many tasks (output skew: its k^2
+    pairs never land in one task), and the size count that decides it is a
+    partial aggregation.  Rows must be unique per (paper_id, author_id).
+    """
+    pairs = _pairs(authorship_rows(authorship), ["paper_id", "year"], block_authors)
+    return pairs.select("year", "src", "dst")
+
+
 def coauthor_pairs_from_papers(
-    papers: DataFrame, spread_above: int = 1024, spread_partitions: int | None = None
+    papers: DataFrame, spread_above: int = 1024, block_authors: int = BLOCK_AUTHORS
 ) -> DataFrame:
     """Ordered pairs ``(year, src, dst)`` from the array form, row by row.
 
-    A row's list is used as is: a paper stored twice counts twice.  Rows
+    A row's list is used as is (a paper stored twice counts twice).  Rows
     with at most ``spread_above`` authors pair inside their scan task (two
-    Generates, no shuffle); longer rows are exploded once, repartitioned on
-    ``(paper_id, src)`` and exploded again, so one long list is paired by many
+    Generates, no shuffle); longer rows go to the long form, keyed by row,
+    and through the blocked self-join, so one long list is paired by many
     tasks.
     """
-    def pair(rows: DataFrame) -> DataFrame:
-        return (
-            rows.select("year", "src", F.explode("authors").alias("dst"))
-            .where(F.col("src") != F.col("dst"))
-        )
-
-    def first(rows: DataFrame) -> DataFrame:
-        return rows.select("paper_id", "year", "authors", F.explode("authors").alias("src"))
-
-    short = first(papers.where(F.size("authors") <= spread_above))
-    long_rows = first(papers.where(F.size("authors") > spread_above))
-    if spread_partitions:
-        long_rows = long_rows.repartition(spread_partitions, "paper_id", "src")
-    else:
-        long_rows = long_rows.repartition("paper_id", "src")
-    return pair(short).unionByName(pair(long_rows))
+    short = papers.where(F.size("authors") <= spread_above)
+    short_pairs = (
+        short.select("year", "authors", F.explode("authors").alias("src"))
+        .select("year", "src", F.explode("authors").alias("dst"))
+        .where(F.col("src") != F.col("dst"))
+    )
+    long_rows = (
+        papers.where(F.size("authors") > spread_above)
+        .withColumn("_row", F.monotonically_increasing_id())
+        .select("_row", "year", F.explode(F.array_distinct("authors")).alias("author_id"))
+        .where(F.col("author_id").isNotNull())
+    )
+    long_pairs = _pairs(long_rows, ["_row", "year"], block_authors).select("year", "src", "dst")
+    return short_pairs.unionByName(long_pairs)
 
 
 def authorship_from_papers(papers: DataFrame) -> DataFrame:
@@ -109,7 +174,7 @@ def edges(authorship: DataFrame) -> DataFrame:
 
 def vertices(authorship: DataFrame) -> DataFrame:
     """Vertices ``(year, id)``: all authors of the year, solo authors included."""
-    return authorship.select("year", F.col("author_id").alias("id")).distinct()
+    return authorship_rows(authorship).select("year", F.col("author_id").alias("id")).distinct()
 
 
 def papers_in_year(df: DataFrame, year: int) -> DataFrame:

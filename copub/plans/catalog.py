@@ -106,6 +106,12 @@ def q_collab_edges_sparse(spark, sf_dir):
     return graph.edges(fx.authorship_sparse(spark, sf_dir))
 
 
+@register("collab_edges_blocked", with_(DENSE, PAIRS, EDGES) + "SELECT * FROM edges")
+def q_collab_edges_blocked(spark, sf_dir):
+    # every paper with more than 2 authors is paired block by block
+    return graph.edges_from_pairs(graph.coauthor_pairs(fx.authorship_dense(spark, sf_dir), block_authors=2))
+
+
 @register("graph_metrics", with_(DENSE, PAIRS, EDGES, METRICS) + "SELECT * FROM metrics")
 def q_graph_metrics(spark, sf_dir):
     return round_doubles(graph.graph_metrics(fx.authorship_dense(spark, sf_dir)))
@@ -443,8 +449,9 @@ def q_edges_from_csv(spark, sf_dir):
     path = scratch_path(spark, "papers-csv")
     papers_csv.write_papers_csv(fx.papers_dense(spark, sf_dir), path)
     papers = papers_csv.read_papers_csv(spark, path)
-    # rows with more than 4 authors take the spread (repartitioned) branch
-    return graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=4))
+    # rows with more than 4 authors take the blocked self-join, cut into
+    # blocks of 3 authors (exercises cells on real rows)
+    return graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=4, block_authors=3))
 
 
 @register("json_roundtrip", with_(DENSE) + PAPERS_SUMMARY_SQL)
