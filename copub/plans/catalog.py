@@ -461,10 +461,17 @@ def q_json_roundtrip(spark, sf_dir):
     return pp.papers_summary(pp.papers_from_exports(ex.read_exports(spark, path)))
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
 def _sparse_exports_on_disk(spark, sf_dir) -> str:
-    path = scratch_path(spark, "exports")
-    ex.write_exports(fx.exports_from_authorship(_sparse(spark, sf_dir), fx.names_sparse(spark, sf_dir)), path)
-    return path
+    """The sparse fixture as per-author export folders, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "sparse-exports")
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "exports")
+        ex.write_exports(fx.exports_from_authorship(_sparse(spark, sf_dir), fx.names_sparse(spark, sf_dir)), path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
 @register("ego_from_files", with_(SPARSE, PAIRS, EGO) + EGO_COUNTS_SQL)
@@ -579,3 +586,53 @@ def q_author_period_stream(spark, sf_dir):
             incremental.read_stream_counts(spark, sink), incremental.read_stream_papers(spark, sink), fx.TEST_PERIODS
         )
     )
+
+
+# --------------------------------------------------------------------------
+# Restricting exports to a set of authors; CSV sinks; last copy wins
+
+NATION_AUTHORS = "SELECT c_custkey AS author_id FROM customer WHERE c_nationkey = 3"
+
+
+@register(
+    "ego_from_listed_authors",
+    with_(SPARSE, PAIRS, EGO) + EGO_COUNTS_SQL.replace(
+        "FROM e", f"FROM e WHERE src IN ({NATION_AUTHORS.replace('author_id', 'c_custkey', 1)})"
+    ),
+)
+def q_ego_from_listed_authors(spark, sf_dir):
+    authors = fx.table(spark, sf_dir, "customer").where(F.col("c_nationkey") == 3).select(
+        F.col("c_custkey").alias("author_id")
+    )
+    rows = ex.read_exports(spark, _sparse_exports_on_disk(spark, sf_dir), authors=authors)
+    return ego.collab_counts(ego.links_from_exports(rows))
+
+
+@register("flags_csv_roundtrip", FLAG_SQL)
+def q_flags_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "flags-csv")
+    papers_csv.write_csv(pp.flag_papers(fx.papers_dense(spark, sf_dir), fx.topic_ids_dense(spark, sf_dir)), path)
+    return spark.read.schema("paper_id bigint, doi string, flag int").option("header", True).csv(path)
+
+
+@register(
+    "flags_last_copy_wins",
+    with_(DENSE, f"ids AS ({IDS_DENSE})") + """SELECT DISTINCT a.paper_id,
+       CASE WHEN a.paper_id IN (SELECT id FROM ids) THEN '10.1/' ELSE '10.0/' END
+         || CAST(a.paper_id AS VARCHAR) AS doi,
+       CASE WHEN a.paper_id IN (SELECT id FROM ids) THEN 1 ELSE 0 END AS flag
+FROM authorship a""",
+)
+def q_flags_last_copy_wins(spark, sf_dir):
+    # a papers CSV, then a second file re-listing the urgent papers with a new
+    # doi; the copy read last (greatest file position) gives the doi
+    base = scratch_path(spark, "papers-versions")
+    dense = fx.papers_dense(spark, sf_dir)
+    urgent = fx.topic_ids_dense(spark, sf_dir)
+    papers_csv.write_papers_csv(dense, f"{base}/a")
+    fixes = dense.join(urgent.select(F.col("id").alias("paper_id")), "paper_id", "left_semi").withColumn(
+        "doi", F.concat(F.lit("10.1/"), F.col("paper_id").cast("string"))
+    )
+    papers_csv.write_papers_csv(fixes, f"{base}/b")
+    rows = papers_csv.read_papers_csv(spark, [f"{base}/a", f"{base}/b"], with_order=True)
+    return pp.flag_papers(pp.dedup_papers(rows, order="_order"), urgent)

@@ -17,16 +17,27 @@ from copub.functions.columns import clean_id, year_from_text
 CSV_TEXT_SCHEMA = "id_paper string, year string, doi string, authors string"
 
 
-def read_papers_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``(paper_id, year, doi, authors array<bigint>)`` from a papers CSV."""
+def read_papers_csv(spark: SparkSession, path: str | list[str], with_order: bool = False) -> DataFrame:
+    """``(paper_id, year, doi, authors array<bigint>)`` from a papers CSV.
+
+    ``with_order`` adds ``_order`` (file path, block start, row id): the
+    position of the row in the files, for "last row wins" deduplication.
+    """
     raw = spark.read.schema(CSV_TEXT_SCHEMA).option("header", True).csv(path)
     ids = F.from_json(F.col("authors"), T.ArrayType(T.LongType()))
-    return raw.select(
+    cols = [
         clean_id("id_paper").alias("paper_id"),
         year_from_text("year").alias("year"),
         F.col("doi"),
         F.coalesce(ids, F.array().cast("array<bigint>")).alias("authors"),
-    )
+    ]
+    if with_order:
+        cols.append(F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("_order"))
+    return raw.select(*cols)
 
 
 def write_papers_csv(papers: DataFrame, path: str, sort: bool = True, mode: str = "errorifexists") -> None:
