@@ -19,7 +19,8 @@ Scale notes.  The edges of a paper with k authors are its k(k-1) ordered
 pairs; they are the output, so they must be produced, but never all in one
 task: papers are paired by a self-join on (paper, cell), where a paper with
 more than ``BLOCK_AUTHORS`` authors is cut into blocks whose cells spread its
-pairs over many tasks (input and output skew alike).  In the array form,
+pairs over many tasks (input and output skew alike); the sizes of the
+oversized papers reach the rows through a bounded broadcast.  In the array form,
 short lists pair inside their scan task and long ones take the blocked join.  Every aggregation below is partial + final (map-side
 combine), so a hot key (one year, one author) never lands whole in one task.
 """
@@ -60,8 +61,9 @@ def authorship_rows(authorship: DataFrame) -> DataFrame:
 
 # Papers with more authors than this are paired block by block.
 BLOCK_AUTHORS = 2048
-# Salts of the join that tags rows of oversized papers with their size.
-TAG_SALTS = 64
+# Oversized papers whose size is broadcast to tag their rows (largest first;
+# 24 bytes each -> at most a few MB).  Papers beyond it keep one cell.
+BIG_BASKETS_MAX = 100_000
 
 
 def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
@@ -75,15 +77,18 @@ def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFr
     this is one row per author, cell 0.  The replication (2s - 1 rows per
     author) is about n / block_authors, small next to the n^2 pairs.
     """
-    # Size of each basket (partial aggregation); only the oversized ones are
-    # joined back, salted: a hot basket's rows spread over TAG_SALTS tasks,
-    # and the short list of oversized baskets is replicated TAG_SALTS times.
+    # Size of each basket (partial aggregation).  The oversized ones, at most
+    # BIG_BASKETS_MAX of them (largest first: a proven bound, a few MB), are
+    # broadcast, so every row is tagged where it is read: no shuffle of the
+    # rows and no task holding a hot basket.  A basket beyond that bound keeps
+    # one cell: its pairs are still exact, just not split.
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.where(F.col("_n") > F.lit(int(block_authors))).select(
-        *keys, "_n", F.explode(F.sequence(F.lit(0), F.lit(TAG_SALTS - 1))).alias("_salt")
+    big = (
+        sizes.where(F.col("_n") > F.lit(int(block_authors)))
+        .orderBy(F.col("_n").desc(), *keys)
+        .limit(BIG_BASKETS_MAX)
     )
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("author_id"), F.lit(TAG_SALTS)).cast("int"))
-    tagged = salted.join(big, keys + ["_salt"], "left")
+    tagged = rows.join(F.broadcast(big), keys, "left")
     s = F.when(F.col("_n").isNull(), F.lit(1)).otherwise(F.ceil(F.col("_n") / F.lit(int(block_authors)))).cast("int")
     tagged = tagged.select(*keys, "author_id", s.alias("_s")).withColumn(
         "_b", F.pmod(F.xxhash64("author_id"), F.col("_s")).cast("int")

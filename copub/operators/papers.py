@@ -56,16 +56,17 @@ def _topic(ids: DataFrame) -> DataFrame:
     return ids.select(F.col("id").alias("paper_id")).where(F.col("paper_id").isNotNull())
 
 
-def flag_papers(papers: DataFrame, topic_ids: DataFrame) -> DataFrame:
-    """``(paper_id, doi, flag)``: 1 if the paper id is in the topic list, else 0.
+def flag_papers(papers: DataFrame, topic_ids: DataFrame, flag_col: str = "flag") -> DataFrame:
+    """``(paper_id, doi, <flag_col>)``: 1 if the paper id is in the topic list, else 0.
 
     Ids only in the topic list give no row.  The id list is deduplicated
     (partially, map-side) and left-joined; Spark broadcasts it only when its
-    measured size is under the broadcast threshold.
+    measured size is under the broadcast threshold.  ``flag_col`` names the
+    flag after the topic if wanted.
     """
-    flags = _topic(topic_ids).distinct().withColumn("flag", F.lit(1))
+    flags = _topic(topic_ids).distinct().withColumn("_flag", F.lit(1))
     return papers.select("paper_id", "doi").join(flags, "paper_id", "left").select(
-        "paper_id", "doi", F.coalesce("flag", F.lit(0)).alias("flag")
+        "paper_id", "doi", F.coalesce("_flag", F.lit(0)).alias(flag_col)
     )
 
 
