@@ -136,11 +136,11 @@ def coauthor_pairs_from_papers(
 ) -> DataFrame:
     """Ordered pairs ``(year, src, dst)`` from the array form, row by row.
 
-    A row's list is used as is (a paper stored twice counts twice).  Rows
-    with at most ``spread_above`` authors pair inside their scan task (two
-    Generates, no shuffle); longer rows go to the long form, keyed by row,
-    and through the blocked self-join, so one long list is paired by many
-    tasks.
+    A row's list is used as is: a paper stored twice counts twice, an id
+    listed twice pairs twice.  Rows with at most ``spread_above`` authors pair
+    inside their scan task (two Generates, no shuffle); longer rows go to the
+    long form and through the blocked self-join, so one long list is paired
+    by many tasks.
     """
     short = papers.where(F.size("authors") <= spread_above)
     short_pairs = (
@@ -148,13 +148,21 @@ def coauthor_pairs_from_papers(
         .select("year", "src", F.explode("authors").alias("dst"))
         .where(F.col("src") != F.col("dst"))
     )
+    # Long lists: identical rows are counted (deterministic basket key: id,
+    # year and a hash of the list), paired once, and the pairs repeated per
+    # copy, so a paper stored twice still counts twice.
+    keys = ["paper_id", "year", "_h", "_dup"]
     long_rows = (
         papers.where(F.size("authors") > spread_above)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .select("_row", "year", F.explode(F.array_distinct("authors")).alias("author_id"))
+        .groupBy("paper_id", "year", "authors")
+        .agg(F.count(F.lit(1)).alias("_dup"))
+        .select("paper_id", "year", F.xxhash64("authors").alias("_h"), "_dup",
+                F.explode("authors").alias("author_id"))
         .where(F.col("author_id").isNotNull())
     )
-    long_pairs = _pairs(long_rows, ["_row", "year"], block_authors).select("year", "src", "dst")
+    long_pairs = _pairs(long_rows, keys, block_authors).select(
+        "year", "src", "dst", F.explode(F.array_repeat(F.lit(1), F.col("_dup").cast("int"))).alias("_copy")
+    ).drop("_copy")
     return short_pairs.unionByName(long_pairs)
 
 

@@ -90,3 +90,19 @@ def test_hot_author_period_metrics_exact(spark):
     # every hot author collaborates with the other 299 in 2000 only
     for r in hot.values():
         assert (r.cosine, r.num_collaborations, r.gain_prev, r.gain_abs) == (97.0, HOT_AUTHORS - 1, HOT_AUTHORS - 1, HOT_AUTHORS - 1)
+
+
+def test_array_form_long_rows_match_short_path(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, 2000, list(range(1, 41))), (1, 2000, list(range(1, 41))),  # same paper stored twice
+            (2, 2001, [5, 5, 6, 7]), (3, 2001, [8, 9])]
+    papers = spark.createDataFrame(rows, "paper_id bigint, year int, authors array<bigint>").repartition(3)
+    short = graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=10_000))
+    blocked = graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=2, block_authors=7))
+    a = sorted(map(tuple, short.collect()))
+    b = sorted(map(tuple, blocked.collect()))
+    assert a == b
+    got = {(r.year, r.src, r.dst): r.number_coll for r in short.collect()}
+    assert got[(2000, 1, 2)] == 2 and got[(2001, 5, 6)] == 2 and got[(2001, 6, 5)] == 2
+    assert (2001, 5, 5) not in got
