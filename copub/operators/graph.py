@@ -71,7 +71,8 @@ def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFr
 
     A basket (paper) of n authors gets s = ceil(n / block_authors) blocks;
     author u in block b takes part in cells (b, j) as left side and (j, b) as
-    right side, j = 0..s-1 (one row, both sides, on the diagonal).  The
+    right side, j = 0..s-1 (one row, both sides, on the diagonal); ``role``
+    holds the sides as bits (1 left, 2 right).  The
     ordered pair (u, v) then meets in exactly one cell, (block(u), block(v)),
     and each cell holds about ``block_authors`` authors per side.  For s = 1
     this is one row per author, cell 0.  The replication (2s - 1 rows per
@@ -93,14 +94,17 @@ def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFr
     tagged = tagged.select(*keys, "author_id", s.alias("_s")).withColumn(
         "_b", F.pmod(F.xxhash64("author_id"), F.col("_s")).cast("int")
     )
+    # role bits: 1 = left side, 2 = right side, 3 = both (diagonal cell)
     js = F.sequence(F.lit(0), F.col("_s") - 1)
     s_, b = F.col("_s"), F.col("_b")
     as_left = F.transform(js, lambda j: F.struct(
-        (b * s_ + j).alias("cell"), F.lit(1).alias("is_l"), F.when(j == b, 1).otherwise(0).alias("is_r")))
+        (b * s_ + j).cast("bigint").alias("cell"), F.when(j == b, 3).otherwise(1).alias("role")))
     as_right = F.transform(F.filter(js, lambda j: j != b), lambda j: F.struct(
-        (j * s_ + b).alias("cell"), F.lit(0).alias("is_l"), F.lit(1).alias("is_r")))
-    return tagged.select(*keys, "author_id", F.explode(F.concat(as_left, as_right)).alias("c")).select(
-        *keys, "author_id", "c.cell", "c.is_l", "c.is_r"
+        (j * s_ + b).cast("bigint").alias("cell"), F.lit(2).alias("role")))
+    one_cell = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(3).alias("role")))
+    cells = F.when(s_ == 1, one_cell).otherwise(F.concat(as_left, as_right))
+    return tagged.select(*keys, "author_id", F.explode(cells).alias("c")).select(
+        *keys, "author_id", "c.cell", "c.role"
     )
 
 
@@ -109,9 +113,10 @@ def _pairs(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
     a, b = cells.alias("a"), cells.alias("b")
     cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys + ["cell"]]
     cond.append(F.col("a.author_id") != F.col("b.author_id"))
-    # one two-sided test (not pushed into either side), so both sides stay
-    # the same plan and share one exchange
-    cond.append(F.col("a.is_l") * F.col("b.is_r") == F.lit(1))
+    # left role on a, right role on b, as one two-sided test over the same
+    # column: nothing one-sided is pushed into either input, so both sides
+    # stay the same plan and share one exchange
+    cond.append((F.col("a.role").bitwiseAND(F.lit(1)) * F.col("b.role").bitwiseAND(F.lit(2))) == F.lit(2))
     j = a.join(b, reduce(lambda x, y: x & y, cond), "inner")
     return j.select(*[F.col(f"a.{k}").alias(k) for k in keys],
                     F.col("a.author_id").alias("src"), F.col("b.author_id").alias("dst"))

@@ -636,3 +636,17 @@ def q_flags_last_copy_wins(spark, sf_dir):
     papers_csv.write_papers_csv(fixes, f"{base}/b")
     rows = papers_csv.read_papers_csv(spark, [f"{base}/a", f"{base}/b"], with_order=True)
     return pp.flag_papers(pp.dedup_papers(rows, order="_order"), urgent)
+
+
+@register(
+    "graph_metrics_limited",
+    with_(DENSE.replace("authorship AS", "base AS"),
+          f"""kept AS (SELECT DISTINCT paper_id FROM base WHERE year = {EDGES_LIMITED_YEAR}
+            ORDER BY paper_id LIMIT {EDGES_LIMITED_N})""",
+          "authorship AS (SELECT * FROM base WHERE paper_id IN (SELECT paper_id FROM kept))",
+          PAIRS, EDGES, METRICS) + "SELECT * FROM metrics",
+)
+def q_graph_metrics_limited(spark, sf_dir):
+    # one year's graph from its first N papers: vertices and edges of the slice
+    sliced = graph.limit_papers(_dense(spark, sf_dir), EDGES_LIMITED_YEAR, EDGES_LIMITED_N)
+    return round_doubles(graph.graph_metrics(sliced))
