@@ -13,15 +13,24 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a deployment is expected to use (AQE re-plans joins and partition
-# counts at run time; skew-join splits hot keys of sort-merge joins).
+# Settings a deployment is expected to use.  AQE re-plans joins and
+# partition counts at run time and splits skewed sort-merge-join partitions;
+# shuffles are sized by bytes per partition (AQE coalesces the many initial
+# partitions), so the same settings hold from a laptop to a large cluster.
+# For ~100 TB of input: scan splits of 256 MB, a high initial shuffle
+# partition count (AQE coalesces it down to ~256 MB partitions).
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Initial shuffle partitions for a ~100 TB job on ~1000 executors.
+LARGE_CLUSTER_SHUFFLE_PARTITIONS = 40_000
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session (set one only if unset)."""
