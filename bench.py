@@ -2,7 +2,7 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 
-Workloads (the reference times the first two):
+Workloads (the original analysis timed the first two):
 - yearly_graph_limited: one year's graph (vertices, edges, metrics) from its
   first 20,000 papers;
 - author_period_wide:   the author-period report for 5 periods, all authors;

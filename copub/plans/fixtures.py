@@ -23,7 +23,7 @@ TEST_PERIODS = [
     (1998, 1999), (1999, 2000), (2000, 2001), (2001, 2002),
 ]
 
-# The periods of the reference's timed workload, shifted onto the data years.
+# The periods of the original timed workload, shifted onto the data years.
 BENCH_PERIODS = [(1996, 1997), (1997, 1998), (1998, 1999), (1999, 2000), (2000, 2001)]
 
 

@@ -62,9 +62,9 @@ def test_topic_ids_keyed_object(spark, tmp_dir):
 def test_flag_column_name(spark):
     p = spark.createDataFrame([(1, "a"), (2, "b")], "paper_id bigint, doi string")
     ids = spark.createDataFrame([(2,)], "id bigint")
-    got = papers.flag_papers(p, ids, flag_col="covid")
-    assert got.columns == ["paper_id", "doi", "covid"]
-    assert {r.paper_id: r.covid for r in got.collect()} == {1: 0, 2: 1}
+    got = papers.flag_papers(p, ids, flag_col="on_topic")
+    assert got.columns == ["paper_id", "doi", "on_topic"]
+    assert {r.paper_id: r.on_topic for r in got.collect()} == {1: 0, 2: 1}
 
 
 def test_graph_store_partition_pruning(spark, tmp_dir):
