@@ -160,3 +160,27 @@ def test_name_is_first_self_mention(spark, tmp_dir):
                                         "authors": [{"id": 3, "name": "Second"}]}}) + "\n")
     n = ego.names_from_exports(exports.read_exports(spark, tmp_dir)).collect()
     assert [(r.author_id, r.name) for r in n] == [(3, "First")]
+
+
+def test_author_missing_from_own_list(spark, tmp_dir):
+    # author 5's file lists a paper without author 5 (counted; no name found)
+    write_export(tmp_dir, 5, [(51, "2015", [6, 7]), (52, "2015", [6])])
+    rows = exports.read_exports(spark, tmp_dir)
+    assert ego.names_from_exports(rows).count() == 0
+    t = {r.pidx: r for r in periods.period_long(
+        ego.links_from_exports(rows), ego.paper_rows_from_exports(rows), [(2015, 2016)]).collect()}
+    assert (t[0].num_collaborations, t[0].num_papers, t[0].cosine) == (2, 2, 97.0)
+    w = periods.period_wide(ego.links_from_exports(rows), ego.paper_rows_from_exports(rows), [(2015, 2016)],
+                            ego.names_from_exports(rows)).collect()
+    assert (w[0].id, w[0].name) == (5, None)
+
+
+def test_filtered_first_paper_is_ignored(spark, tmp_dir):
+    write_export(tmp_dir, 1, ADA)
+    rows = ego.keep_papers(exports.read_exports(spark, tmp_dir), [15, 16])
+    t = {r.pidx: r for r in periods.period_long(
+        ego.links_from_exports(rows), ego.paper_rows_from_exports(rows), PERIODS).collect()}
+    assert t[0].cosine == 99.0 and t[3].cosine == 0.0 and t[3].num_papers == 2
+    # an author whose papers are all filtered out has no row
+    none = ego.keep_papers(exports.read_exports(spark, tmp_dir), [999])
+    assert periods.period_long(ego.links_from_exports(none), ego.paper_rows_from_exports(none), PERIODS).count() == 0
