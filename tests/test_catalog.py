@@ -30,10 +30,10 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
-def test_plan_has_no_python_or_nested_loops(spark, name):
+def test_plan_has_no_python_nested_loops_or_windows(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "Window ["):
         assert bad not in plan, f"{name}: {bad}"
 
 
