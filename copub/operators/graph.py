@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from copub.functions.columns import ratio
+from copub.session import checkpoint_root
 
 # Chart titles of the metric series (fixed values of the report).
 METRIC_TITLES = {
@@ -200,21 +201,60 @@ def papers_in_year(df: DataFrame, year: int) -> DataFrame:
     return df.where(F.col("year") == F.lit(int(year)))
 
 
-def limit_papers(authorship: DataFrame, year: int, limit: int = 0) -> DataFrame:
+def first_ids(ids: DataFrame, n: int, ranges: int | None = None) -> DataFrame:
+    """The ``n`` smallest ``paper_id`` of a distinct id table, without one
+    task holding them all.
+
+    The ids are range-partitioned and checkpointed (so range numbers stay
+    the same across the jobs that read them); the per-range counts (one
+    number per range) locate the range holding the n-th id; whole ranges
+    before it are kept as they are and only that range is cut by a top-k.
+    """
+    spark = ids.sparkSession
+    checkpoint_root(spark)
+    ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = (
+        ids.repartitionByRange(int(ranges), "paper_id")
+        .withColumn("_range", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    counts = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
+    kept, cut, rest = [], None, int(n)
+    for rng, c in counts:
+        if rest <= 0:
+            break
+        if c <= rest:
+            kept.append(rng)
+            rest -= c
+        else:
+            cut = rng
+            break
+    whole = ranged.where(F.col("_range").isin(kept)).select("paper_id")
+    if cut is None or rest <= 0:
+        return whole
+    part = ranged.where(F.col("_range") == cut).select("paper_id").orderBy("paper_id").limit(rest)
+    return whole.unionByName(part)
+
+
+def limit_papers(authorship: DataFrame, year: int, limit: int = 0, broadcast_max: int = BROADCAST_IDS_MAX) -> DataFrame:
     """The year's slice restricted to its first ``limit`` papers by id.
 
     ``limit=0`` keeps every paper of the year.  Only the paper ids go
-    through the top-N; the id list is bounded by ``limit``, so it is
-    broadcast into the semi join when ``limit <= BROADCAST_IDS_MAX``.
+    through the top-N.  Up to ``broadcast_max`` ids (a bound proven by
+    ``limit``) the top-N is one small task and is broadcast into the semi
+    join; above it, ``first_ids`` selects them range by range and the semi
+    join is a shuffle join.
     """
     year_rows = papers_in_year(authorship, year)
     if not limit:
         return year_rows
     if limit < 0:
         raise ValueError("limit must be >= 0")
-    ids = year_rows.select("paper_id").distinct().orderBy("paper_id").limit(int(limit))
-    if limit <= BROADCAST_IDS_MAX:
-        ids = F.broadcast(ids)
+    distinct_ids = year_rows.select("paper_id").distinct()
+    if limit <= broadcast_max:
+        ids = F.broadcast(distinct_ids.orderBy("paper_id").limit(int(limit)))
+    else:
+        ids = first_ids(distinct_ids, int(limit))
     return year_rows.join(ids, "paper_id", "left_semi")
 
 
