@@ -20,9 +20,10 @@ pairs; they are the output, so they must be produced, but never all in one
 task: papers are paired by a self-join on (paper, cell), where a paper with
 more than ``BLOCK_AUTHORS`` authors is cut into blocks whose cells spread its
 pairs over many tasks (input and output skew alike); the sizes of the
-oversized papers reach the rows through a bounded broadcast.  In the array form,
-short lists pair inside their scan task and long ones take the blocked join.  Every aggregation below is partial + final (map-side
-combine), so a hot key (one year, one author) never lands whole in one task.
+oversized papers reach the rows through a bounded broadcast.  In the array
+form, short lists pair inside their scan task and long ones take the blocked
+join.  Every aggregation below is partial + final (map-side combine), so a
+hot key (one year, one author) never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -73,9 +74,9 @@ def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFr
     A basket (paper) of n authors gets s = ceil(n / block_authors) blocks;
     author u in block b takes part in cells (b, j) as left side and (j, b) as
     right side, j = 0..s-1 (one row, both sides, on the diagonal); ``role``
-    holds the sides as bits (1 left, 2 right).  The
-    ordered pair (u, v) then meets in exactly one cell, (block(u), block(v)),
-    and each cell holds about ``block_authors`` authors per side.  For s = 1
+    holds the sides as bits (1 left, 2 right).  The ordered pair (u, v) then
+    meets in exactly one cell, (block(u), block(v)), and each cell holds
+    about ``block_authors`` authors per side.  For s = 1
     this is one row per author, cell 0.  The replication (2s - 1 rows per
     author) is about n / block_authors, small next to the n^2 pairs.
     """
@@ -131,7 +132,8 @@ def coauthor_pairs(authorship: DataFrame, block_authors: int = BLOCK_AUTHORS) ->
     the shuffle is written once and read by both.  A paper with more than
     ``block_authors`` authors is paired by many tasks (output skew: its k^2
     pairs never land in one task), and the size count that decides it is a
-    partial aggregation.  Rows must be unique per (paper_id, author_id).
+    partial aggregation.  A (paper, author) row given twice pairs twice, as
+    an id listed twice in one author list does.
     """
     pairs = _pairs(authorship_rows(authorship), ["paper_id", "year"], block_authors)
     return pairs.select("year", "src", "dst")
