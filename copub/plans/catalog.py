@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from copub.operators import graph
+from copub.operators import ego, graph, periods
+from copub.operators import papers as pp
 from copub.plans import fixtures as fx
+from copub.session import scratch_path
+from copub.sources import exports as ex
+from copub.sources import papers_csv, stores, topics
+from copub.streaming import incremental
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -125,8 +130,6 @@ def q_graph_metrics_sparse(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Ego tables and author periods
 
-from copub.operators import ego, periods  # noqa: E402
-
 
 def periods_cte(plist) -> str:
     vals = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(plist))
@@ -323,10 +326,6 @@ def q_mean_in_range(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Papers, flags, topic ids
 
-from copub.operators import papers as pp  # noqa: E402
-from copub.session import scratch_path  # noqa: E402
-from copub.sources import exports as ex  # noqa: E402
-from copub.sources import papers_csv, stores, topics  # noqa: E402
 
 PAPERS_SUMMARY_SQL = """SELECT paper_id, year, CAST(count(*) AS INT) AS n_authors,
        string_agg(CAST(author_id AS VARCHAR), ',' ORDER BY author_id) AS authors_csv
@@ -555,8 +554,6 @@ def q_author_period_from_store(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Streaming: the dense exports arrive in two drops (before / from 1998)
 
-from copub.streaming import incremental  # noqa: E402
-
 
 def _stream_two_drops(spark, sf_dir):
     a = _dense(spark, sf_dir)
