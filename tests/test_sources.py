@@ -79,3 +79,16 @@ def test_graph_store_partition_pruning(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
     assert sorted((r.src, r.dst) for r in one.collect()) == [(1, 3), (3, 1)]
     assert v.count() == 4
+
+
+def test_exports_skip_lines_that_are_not_papers(spark, tmp_dir):
+    from copub.sources import exports
+
+    with open(os.path.join(tmp_dir, "4.json"), "w") as f:
+        f.write(json.dumps({"_source": {"id": 1, "year": "2015", "authors": [{"id": 4, "name": "D"}, {"id": 5}]}}) + "\n")
+        f.write("{not json\n")
+        f.write(json.dumps({"_source": {"id": "x", "year": "2015", "authors": [{"id": 4}]}}) + "\n")
+    rows = exports.read_exports(spark, tmp_dir)
+    assert rows.count() == 1
+    got = ego.year_papers(ego.paper_rows_from_exports(rows)).collect()
+    assert [(r.author_id, r.year, r.papers) for r in got] == [(4, 2015, 1)]
