@@ -27,9 +27,13 @@ def year_from_text(c: Column | str) -> Column:
 
 
 def author_ids(authors: Column | str) -> Column:
-    """array<struct<id, ...>> -> sorted distinct bigint ids, NULL ids dropped."""
-    ids = F.transform(_col(authors), lambda a: a["id"].try_cast("bigint"))
-    return F.array_sort(F.array_distinct(F.filter(ids, lambda x: x.isNotNull())))
+    """array<struct<id, ...>> -> sorted distinct bigint ids, NULL ids dropped.
+
+    Built from code-generated array functions only (field extraction,
+    element-wise ``try_cast``, ``array_except``, ``sort_array``): no lambda.
+    """
+    ids = _col(authors)["id"].try_cast("array<bigint>")
+    return F.sort_array(F.array_except(ids, F.array(F.lit(None).cast("bigint"))))
 
 
 def ratio(num: Column, den: Column) -> Column:

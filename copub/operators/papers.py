@@ -37,7 +37,7 @@ def dedup_papers(papers: DataFrame, order: str | None = None) -> DataFrame:
 def authors_text(authors: F.Column | str) -> F.Column:
     """Sorted author ids joined by ',' (the CSV/text form of the list)."""
     col = F.col(authors) if isinstance(authors, str) else authors
-    return F.array_join(F.transform(F.array_sort(col), lambda x: x.cast("string")), ",")
+    return F.array_join(F.sort_array(col).cast("array<string>"), ",")
 
 
 def papers_summary(papers: DataFrame) -> DataFrame:

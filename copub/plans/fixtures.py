@@ -92,7 +92,7 @@ def papers_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         authorship_dense(spark, sf_dir)
         .groupBy("paper_id", "year")
-        .agg(F.array_sort(F.collect_set("author_id")).alias("authors"))
+        .agg(F.sort_array(F.collect_set("author_id")).alias("authors"))
         .select("paper_id", "year", F.concat(F.lit("10.0/"), F.col("paper_id").cast("string")).alias("doi"), "authors")
     )
 
@@ -107,7 +107,7 @@ def exports_from_authorship(authorship: DataFrame, names: DataFrame) -> DataFram
     lists = (
         authorship.join(names, "author_id", "left")
         .groupBy("paper_id", "year")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("author_id").alias("id"), "name"))).alias("authors"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col("author_id").alias("id"), "name"))).alias("authors"))
     )
     return authorship.select(F.col("author_id").alias("author_file"), "paper_id", "year").join(
         lists, ["paper_id", "year"]
