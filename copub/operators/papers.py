@@ -56,16 +56,23 @@ def _topic(ids: DataFrame) -> DataFrame:
     return ids.select(F.col("id").alias("paper_id")).where(F.col("paper_id").isNotNull())
 
 
-def flag_papers(papers: DataFrame, topic_ids: DataFrame, flag_col: str = "flag") -> DataFrame:
+def flag_papers(
+    papers: DataFrame, topic_ids: DataFrame, flag_col: str = "flag", order: str | None = None
+) -> DataFrame:
     """``(paper_id, doi, <flag_col>)``: 1 if the paper id is in the topic list, else 0.
 
-    Ids only in the topic list give no row.  The id list is deduplicated
-    (partially, map-side) and left-joined; Spark broadcasts it only when its
-    measured size is under the broadcast threshold.  ``flag_col`` names the
-    flag after the topic if wanted.
+    One row per distinct paper id; when an id is listed more than once, the
+    doi of its copy with the greatest ``order`` (e.g. ``_order``, the file
+    position) wins, else the greatest doi.  Ids only in the topic list give
+    no row.  Both sides are deduplicated by partial aggregation on the id,
+    which also partitions them for the left join; Spark broadcasts the id
+    list only when its measured size is under the broadcast threshold.
+    ``flag_col`` names the flag after the topic if wanted.
     """
+    cols = ["paper_id", "doi"] + ([order] if order else [])
+    one = dedup_papers(papers.select(*cols), order)
     flags = _topic(topic_ids).distinct().withColumn("_flag", F.lit(1))
-    return papers.select("paper_id", "doi").join(flags, "paper_id", "left").select(
+    return one.join(flags, "paper_id", "left").select(
         "paper_id", "doi", F.coalesce("_flag", F.lit(0)).alias(flag_col)
     )
 

@@ -632,7 +632,7 @@ def q_flags_last_copy_wins(spark, sf_dir):
     )
     papers_csv.write_papers_csv(fixes, f"{base}/b")
     rows = papers_csv.read_papers_csv(spark, [f"{base}/a", f"{base}/b"], with_order=True)
-    return pp.flag_papers(pp.dedup_papers(rows, order="_order"), urgent)
+    return pp.flag_papers(rows, urgent, order="_order")
 
 
 @register(

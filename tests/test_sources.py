@@ -92,3 +92,12 @@ def test_exports_skip_lines_that_are_not_papers(spark, tmp_dir):
     assert rows.count() == 1
     got = ego.year_papers(ego.paper_rows_from_exports(rows)).collect()
     assert [(r.author_id, r.year, r.papers) for r in got] == [(4, 2015, 1)]
+
+
+def test_flags_one_row_per_id_last_copy(spark):
+    p = spark.createDataFrame(
+        [(1, "old", 1), (1, "new", 2), (2, "b", 1), (2, "b", 3)], "paper_id bigint, doi string, pos int"
+    )
+    ids = spark.createDataFrame([(1,), (1,)], "id bigint")
+    got = sorted(map(tuple, papers.flag_papers(p, ids, order="pos").collect()))
+    assert got == [(1, "new", 1), (2, "b", 0)]
