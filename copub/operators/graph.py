@@ -98,11 +98,12 @@ def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFr
     )
     # role bits: 1 = left side, 2 = right side, 3 = both (diagonal cell)
     js = F.sequence(F.lit(0), F.col("_s") - 1)
-    s_, b = F.col("_s"), F.col("_b")
+    # cell ids in bigint arithmetic: s * s may exceed the int range
+    s_, b = F.col("_s").cast("bigint"), F.col("_b").cast("bigint")
     as_left = F.transform(js, lambda j: F.struct(
-        (b * s_ + j).cast("bigint").alias("cell"), F.when(j == b, 3).otherwise(1).alias("role")))
+        (b * s_ + j).alias("cell"), F.when(j == b, 3).otherwise(1).alias("role")))
     as_right = F.transform(F.filter(js, lambda j: j != b), lambda j: F.struct(
-        (j * s_ + b).cast("bigint").alias("cell"), F.lit(2).alias("role")))
+        (j * s_ + b).alias("cell"), F.lit(2).alias("role")))
     one_cell = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(3).alias("role")))
     cells = F.when(s_ == 1, one_cell).otherwise(F.concat(as_left, as_right))
     return tagged.select(*keys, "author_id", F.explode(cells).alias("c")).select(

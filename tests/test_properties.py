@@ -112,3 +112,24 @@ def test_period_invariants(spark, which):
     # the periods cover every data year: absolute gains add up to all collaborators
     tot = long_df.groupBy("author_id").agg(F.sum("gain_abs").alias("g"), F.max("num_collaborators").alias("c"))
     assert tot.where(F.col("g") != F.col("c")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_blocked_pairs_equal_brute_force(spark, seed):
+    rnd = random.Random(100 + seed)
+    rows = set()
+    for pid in range(rnd.randint(3, 12)):
+        year = rnd.randint(2000, 2002)
+        for a in rnd.sample(range(1, 60), rnd.randint(1, 25)):
+            rows.add((pid, year, a))
+    rows = sorted(rows)
+    a = spark.createDataFrame(rows, "paper_id bigint, year int, author_id bigint")
+    want = {}
+    for p, y, s in rows:
+        for q, y2, d in rows:
+            if p == q and y == y2 and s != d:
+                want[(y, s, d)] = want.get((y, s, d), 0) + 1
+    for block in (1, 2, 5, 2048):
+        got = {(r.year, r.src, r.dst): r.number_coll
+               for r in graph.edges_from_pairs(graph.coauthor_pairs(a, block_authors=block)).collect()}
+        assert got == want, block
