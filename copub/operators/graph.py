@@ -296,7 +296,7 @@ def metrics(vertex_df: DataFrame, edge_df: DataFrame) -> DataFrame:
         "n_vertices",
         "n_edges",
         F.coalesce(ratio(2 * F.col("n_edges"), F.col("n_vertices")), F.lit(0.0)).alias("avg_degree"),
-        ratio(2 * F.col("n_edges"), F.col("n_vertices") * (F.col("n_vertices") - 1)).alias("density"),
+        ratio(2 * F.col("n_edges"), F.col("n_vertices").cast("double") * (F.col("n_vertices") - 1)).alias("density"),
     )
 
 
