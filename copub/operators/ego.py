@@ -147,6 +147,27 @@ def paper_rows_from_exports(exports: DataFrame) -> DataFrame:
     )
 
 
+def rows_from_exports(exports: DataFrame) -> DataFrame:
+    """Links and paper rows from ONE projection of the export rows.
+
+    ``(author_id, year, collab_id, n, papers)`` as taken by the period
+    operators with ``paper_rows=None``: each listed author gives a row (its
+    collaborator, or NULL for the file's own author), and the first entry of
+    each export row (or the row itself when its list is empty) carries
+    ``papers = 1``.  The export files are then parsed once, not once per
+    branch.
+    """
+    x = exports.select("author_file", "year", F.posexplode_outer("authors").alias("pos", "a"))
+    other = F.col("a.id").isNotNull() & (F.col("a.id") != F.col("author_file"))
+    return x.select(
+        F.col("author_file").alias("author_id"),
+        "year",
+        F.when(other, F.col("a.id")).alias("collab_id"),
+        F.when(other, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("n"),
+        F.when(F.col("pos").isNull() | (F.col("pos") == 0), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("papers"),
+    )
+
+
 def names_from_exports(exports: DataFrame) -> DataFrame:
     """Author name = the name at the author's first mention in their own file.
 

@@ -195,3 +195,14 @@ def test_large_limit_takes_ranges(spark):
         want = sorted(r for r in rows if r[0] <= min(n, 399))
         assert sorted(map(tuple, ranged.collect())) == want
         assert sorted(map(tuple, small.collect())) == want
+
+
+def test_single_projection_rows_match_two_branches(spark, tmp_dir):
+    write_export(tmp_dir, 1, ADA)
+    write_export(tmp_dir, 5, [(51, "2015", [6, 7]), (52, "2016", [])])
+    write_export(tmp_dir, 9, [(91, "2015", [9]), (92, "2016", [9, 1, 1])])
+    rows = exports.read_exports(spark, tmp_dir)
+    two = periods.period_long(ego.links_from_exports(rows), ego.paper_rows_from_exports(rows), PERIODS)
+    one = periods.period_long(ego.rows_from_exports(rows), None, PERIODS)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    assert one.count() == 3 * len(PERIODS)
