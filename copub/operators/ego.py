@@ -79,11 +79,18 @@ def totals(links: DataFrame, paper_rows: DataFrame, names: DataFrame | None = No
     Distinct collaborators over all years; 0 for an author with solo papers
     only.  ``name`` is NULL when no names table is given or it has no entry.
     """
-    authors = paper_rows.select("author_id").distinct()
-    nc = links.select("author_id", "collab_id").distinct().groupBy("author_id").agg(
-        F.count(F.lit(1)).alias("num_collaborators")
+    # links and paper rows (NULL collaborator) in one table: distinct
+    # (author, collaborator), then per author the collaborators and whether
+    # there is a paper -- two partial aggregations, no join
+    lk = links.select("author_id", F.col("collab_id").cast("bigint"), F.lit(0).alias("_paper"))
+    pr = paper_rows.select("author_id", F.lit(None).cast("bigint").alias("collab_id"), F.lit(1).alias("_paper"))
+    out = (
+        lk.unionByName(pr)
+        .groupBy("author_id", "collab_id").agg(F.max("_paper").alias("_paper"))
+        .groupBy("author_id")
+        .agg(F.count_if(F.col("collab_id").isNotNull()).alias("num_collaborators"), F.max("_paper").alias("_paper"))
+        .where(F.col("_paper") == 1)
     )
-    out = authors.join(nc, "author_id", "left")
     if names is not None:
         out = out.join(names.select("author_id", "name"), "author_id", "left")
     else:
