@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tables
-from .words import U, chunks, distinct, mix, shingles, split_words
+from .words import U, chunks, distinct, members_of_repeated, mix, shingles, split_words
 
 WIDTH = 5
 PERCENT = 80
@@ -174,40 +174,6 @@ def signature_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "sig long, set_id long")
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, set_id): distinct rows of signatures that two sets have.
-
-    Only the last row is carried from batch to batch, however large a group is.
-    """
-    last_sig = last_set = None
-    pending = False  # the last row is its group's first and not yet given out
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        sig, of = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if last_sig is not None:
-            sig, of = np.concatenate([[last_sig], sig]), np.concatenate([[last_set], of])
-        new = np.ones(len(sig), bool)
-        new[1:] = (sig[1:] != sig[:-1]) | (of[1:] != of[:-1])
-        sig, of = sig[new], of[new]
-        first = np.ones(len(sig), bool)
-        first[1:] = sig[1:] != sig[:-1]
-        carried_first = first[0] if last_sig is None else pending
-        first[0] = carried_first
-        more = np.zeros(len(sig), bool)
-        more[:-1] = sig[1:] == sig[:-1]
-        # out: members that are not first, and firsts that have a follower
-        out = ~first | more
-        if last_sig is not None and not pending:
-            out[0] = False  # given out before
-        pending = bool(first[-1] and not more[-1])
-        if pending:
-            out[-1] = False
-        last_sig, last_set = sig[-1], of[-1]
-        if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sig[out]), pa.array(of[out])], ["sig", "set_id"])
-
-
 def shingle_sets(docs: DataFrame, keys: DataFrame, width: int = WIDTH) -> DataFrame:
     """(set_id, shingles) of the documents whose ``text_key`` is in ``keys``."""
 
@@ -263,10 +229,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
         ),
         "classes",
     )
-    shared = tables.written(
-        signature_rows(docs, width, percent).repartition("sig").sortWithinPartitions("sig", "set_id").mapInArrow(_shared, "sig long, set_id long"),
-        "shared",
-    )
+    shared = tables.written(members_of_repeated(signature_rows(docs, width, percent), "sig", "set_id"), "shared")
     # Of its signatures a set may leave out its `spare` commonest: see the module's docstring
     # (any global order of signatures will do; this one starts with the rarest).
     sized = shared.join(shared.groupBy("sig").agg(F.count("*").alias("size")), "sig")

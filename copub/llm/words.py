@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -21,6 +22,10 @@ CHUNK_BYTES = 1 << 20
 # ASCII white space: 0x20 and 0x09-0x0D.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# ASCII other than letters and digits.
+_MARKS = np.zeros(256, bool)
+_MARKS[:128] = True
+_MARKS[48:58] = _MARKS[65:91] = _MARKS[97:123] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -77,14 +82,17 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(col: pa.Array, lower: bool) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each text; ``lower`` maps A-Z to a-z first."""
+def split_words(col: pa.Array, lower: bool, marks: bool = False) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each text; ``lower`` maps A-Z to a-z first.
+
+    With ``marks`` words are cut at every ASCII character but letters and digits.
+    """
     data, offsets = text_buffers(col)
     if lower:
         data = _LOWER[data]
     n, size = len(offsets) - 1, len(data)
     inside = np.zeros(size + 1, bool)
-    inside[:size] = ~_SPACE[data]
+    inside[:size] = ~(_MARKS if marks else _SPACE)[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[:-1]
@@ -144,3 +152,41 @@ def distinct(docs: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     keep = np.ones(len(docs), bool)
     keep[1:] = (docs[1:] != docs[:-1]) | (values[1:] != values[:-1])
     return docs[keep], values[keep]
+
+
+def repeated_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (key, member): the distinct rows of keys with two members or more.
+
+    Only the last row is carried from batch to batch, however large a group is.
+    """
+    last_key = last_member = None
+    pending = False  # the carried row is its group's first and not yet given out
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, member = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        carried = last_key is not None
+        if carried:
+            key, member = np.concatenate([[last_key], key]), np.concatenate([[last_member], member])
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (member[1:] != member[:-1])
+        key, member = key[new], member[new]
+        first = np.ones(len(key), bool)
+        first[1:] = key[1:] != key[:-1]
+        if carried:
+            first[0] = pending
+        more = np.zeros(len(key), bool)
+        more[:-1] = key[1:] == key[:-1]
+        out = ~first | more
+        if carried and not pending:
+            out[0] = False  # given out before
+        pending = bool(first[-1] and not more[-1])
+        last_key, last_member = key[-1], member[-1]
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(member[out])], batch.schema.names)
+
+
+def members_of_repeated(rows: DataFrame, key: str, member: str) -> DataFrame:
+    """(key, member) of keys that two members have; one shuffle, streamed through each task."""
+    kinds = dict(rows.dtypes)
+    return rows.repartition(key).sortWithinPartitions(key, member).mapInArrow(repeated_keys, f"{key} {kinds[key]}, {member} {kinds[member]}")
