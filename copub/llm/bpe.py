@@ -254,10 +254,9 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import gc
 
+        encoder = Encoder(shared.value)
         gc.disable()  # the caches are large and hold no cycles
-        encoder = None
         for batch in chunks(batches, "text"):
-            encoder = encoder or Encoder(shared.value)
             ids, decoded = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
 
