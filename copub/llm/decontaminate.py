@@ -49,42 +49,39 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame
     """(key, start, length, gram): where a test window occurs in a text; ``key`` is the text's digest."""
     grams = tables.written(test_windows(benchmark, width).groupBy("length", "gram").agg(F.count("*").alias("items")), "windows")
     sizes = {r["length"]: r["count"] for r in grams.groupBy("length").count().collect()}  # at most `width` rows
+    texts = docs.select(F.md5(F.col("text").cast("string").cast("binary")).alias("key"), words(F.col("text")).alias("w"))
     found = None
     for length, n in sorted(sizes.items()):
-        block = (length + 1) // 2
-        mine = grams.where(F.col("length") == length).select("gram")
-        parts = F.split("gram", " ")
-        inner = F.transform(F.sequence(F.lit(1), F.lit(length - block + 1)), lambda i, p=parts: F.xxhash64(_joined(p, i, block)))
-        blocks = mine.select(F.explode(inner).alias("block")).distinct()
-        whole = F.floor(F.size("w") / block).cast("int")
-        # a block's words with those before and behind it that a window around it may take
-        reach = length - block
-
-        def around(i: Column, block: int = block, reach: int = reach) -> Column:
-            begin = i * block + 1
-            low = F.greatest(begin - reach, F.lit(1))
-            return F.struct(
-                F.xxhash64(_joined(F.col("w"), begin, block)).alias("block"),
-                low.alias("low"),
-                F.slice("w", low, begin + block + reach - low).alias("near"),
-            )
-
-        places = F.when(whole > 0, F.transform(F.sequence(F.lit(0), whole - 1), around))
-        near = (
-            docs.select(F.md5(F.col("text").cast("string").cast("binary")).alias("key"), words(F.col("text")).alias("w"))
-            .select("key", F.explode(places).alias("p"))
-            .select("key", "p.*")
-            .join(_small(blocks, n * (length - block + 1)), "block", "left_semi")
-        )
-        starts = F.when(F.size("near") >= length, F.sequence(F.lit(1), F.size("near") - length + 1))
-        shown = near.select("key", "low", "near", F.explode(starts).alias("i")).select("key", (F.col("low") + F.col("i") - 1).alias("start"), _joined(F.col("near"), F.col("i"), length).alias("gram"))
-        one = shown.join(_small(mine, n), "gram").select("key", "start", F.lit(length).alias("length"), "gram")
+        one = _hits_of_length(texts, grams.where(F.col("length") == length).select("gram"), length, n)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return docs.sparkSession.createDataFrame([], "key string, start int, length int, gram string")
     return found.distinct()
 
 
+def _hits_of_length(texts: DataFrame, grams: DataFrame, length: int, n: int) -> DataFrame:
+    """As ``hits``, for the ``n`` windows (gram) of one length; texts has key and words w."""
+    block = (length + 1) // 2
+    reach = length - block  # words before or behind a block that a window around it may take
+    parts = F.split("gram", " ")
+    inner = F.transform(F.sequence(F.lit(1), F.lit(reach + 1)), lambda i: F.xxhash64(_joined(parts, i, block)))
+    blocks = grams.select(F.explode(inner).alias("block")).distinct()
+    whole = F.floor(F.size("w") / block).cast("int")
+
+    def around(i: Column) -> Column:
+        begin = i * block + 1
+        low = F.greatest(begin - reach, F.lit(1))
+        near = F.slice("w", low, begin + block + reach - low)
+        return F.struct(F.xxhash64(_joined(F.col("w"), begin, block)).alias("block"), low.alias("low"), near.alias("near"))
+
+    places = F.when(whole > 0, F.transform(F.sequence(F.lit(0), whole - 1), around))
+    near = texts.select("key", F.explode(places).alias("p")).select("key", "p.*").join(_small(blocks, n * (reach + 1)), "block", "left_semi")
+    starts = F.when(F.size("near") >= length, F.sequence(F.lit(1), F.size("near") - length + 1))
+    shown = near.select("key", "low", "near", F.explode(starts).alias("i"))
+    shown = shown.select("key", (F.col("low") + F.col("i") - 1).alias("start"), _joined(F.col("near"), F.col("i"), length).alias("gram"))
+    return shown.join(_small(grams, n), "gram").select("key", "start", F.lit(length).alias("length"), "gram")
+
+
 def report(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items (item_ids as sorted strings), contaminated.
 

@@ -26,51 +26,47 @@ TOLERANCE = 1 / 500  # of a leaf's bytes
 SLOT_ROWS = 50_000  # about so many rows of a shard are numbered in one task
 
 
-def _case(column: Column, values: dict[int, Column]) -> Column:
-    out = None
-    for key, value in values.items():
-        out = F.when(column == key, value) if out is None else out.when(column == key, value)
-    return out
+def _lookup(values: dict[int, int | float]) -> Column:
+    """The value of a row's node, from a literal array (one entry per node of the tree)."""
+    some = next(iter(values.values()))
+    entries = [F.lit(values.get(i, 0 * some)) for i in range(max(values) + 1)]
+    return F.element_at(F.array(*entries), F.col("node") + 1)
 
 
-def _tree(node: int, splits: dict[int, tuple[int, int, int, int]], keys: list[Column]) -> Column:
-    """The leaf of a row; splits: node -> (dimension, key, left, right)."""
+def _tree(node: int, splits: dict[int, tuple[int, int, int, int]], numbers: dict[int, int] | None = None) -> Column:
+    """The leaf of a row, or its number; splits: node -> (dimension, key, left, right)."""
     if node not in splits:
-        return F.lit(node)
+        return F.lit(node if numbers is None else numbers[node])
     dim, at, left, right = splits[node]
-    return F.when(keys[dim] < at, _tree(left, splits, keys)).otherwise(_tree(right, splits, keys))
+    return F.when(F.col(f"k{dim}") < at, _tree(left, splits, numbers)).otherwise(_tree(right, splits, numbers))
 
 
-def _quantile_keys(rows: DataFrame, node: Column, want: dict[int, tuple[int, float]], keys: list[Column], tolerance: float) -> dict[int, int]:
+def _quantile_keys(rows: DataFrame, n_dims: int, want: dict[int, tuple[int, float]], tolerance: float) -> dict[int, int]:
     """For each node: the key before which about the wanted bytes lie; want: node -> (dimension, bytes)."""
     shift = VALUE_BITS + TIE_BITS
     state = {n: (0, rest) for n, (_, rest) in want.items()}  # prefix of the key, bytes wanted behind it
     found: dict[int, int] = {}
     while state:
-        shift = max(0, shift - STEP_BITS)
-        width = min(STEP_BITS, VALUE_BITS + TIE_BITS - shift)
-        key = _case(F.col("node"), {n: keys[want[n][0]] for n in state})
-        prefix = _case(F.col("node"), {n: F.lit(p) for n, (p, _) in state.items()})
-        rest = _case(F.col("node"), {n: F.lit(float(r)) for n, (_, r) in state.items()})
+        width = min(STEP_BITS, shift)
+        shift -= width
+        key = F.element_at(F.array(*(F.col(f"k{i}") for i in range(n_dims))), _lookup({n: want[n][0] + 1 for n in state}))
         bins = (
-            rows.withColumn("node", node)
-            .where(F.col("node").isin(list(state)))
-            .select("node", "size", F.shiftright(key, shift).alias("bin"), prefix.alias("prefix"))
-            .where(F.shiftright("bin", width) == F.col("prefix"))
+            rows.where(F.col("node").isin(list(state)))
+            .select("node", "size", F.shiftright(key, shift).alias("bin"))
+            .where(F.shiftright("bin", width) == _lookup({n: p for n, (p, _) in state.items()}))
             .groupBy("node", "bin")
             .agg(F.sum("size").alias("bytes"))
         )
-        upto = F.sum("bytes").over(Window.partitionBy("node").orderBy("bin"))
+        by_bin = Window.partitionBy("node").orderBy("bin")
         hit = (
-            bins.withColumn("upto", upto)
-            .where((F.col("upto") >= rest) | (F.lead("bin").over(Window.partitionBy("node").orderBy("bin")).isNull()))
+            bins.withColumns({"upto": F.sum("bytes").over(by_bin), "next": F.lead("bin").over(by_bin)})
+            .where((F.col("upto") >= _lookup({n: float(r) for n, (_, r) in state.items()})) | F.col("next").isNull())
             .groupBy("node")
             .agg(F.min(F.struct("bin", "bytes", "upto")).alias("hit"))
             .select("node", "hit.*")
         )
         for r in hit.collect():
-            before = r["upto"] - r["bytes"]
-            left = state.pop(r["node"])[1] - before
+            left = state.pop(r["node"])[1] - (r["upto"] - r["bytes"])
             if r["bytes"] <= tolerance or not shift:
                 found[r["node"]] = (r["bin"] + (2 * left > r["bytes"])) << shift
             else:
@@ -78,42 +74,32 @@ def _quantile_keys(rows: DataFrame, node: Column, want: dict[int, tuple[int, flo
     return found
 
 
-def kd_leaves(rows: DataFrame, dims: list[str], leaves: int, tolerance: float) -> Column:
-    """The leaf number (0 to leaves-1) of rows with columns size, tie and ``dims`` (whole numbers of VALUE_BITS)."""
-    keys = [F.shiftleft(F.col(d), TIE_BITS) + F.col("tie") for d in dims]
+def kd_leaves(rows: DataFrame, ranges: list[int], leaves: int, tolerance: float) -> Column:
+    """The leaf number (0 to leaves-1) of rows with size and one key k0, k1, ... per dimension.
+
+    ``ranges`` are the keys' overall spreads.
+    """
     splits: dict[int, tuple[int, int, int, int]] = {}
     open_nodes = {0: leaves}  # node -> its number of leaves
-    order = {0: 0}  # leaf node -> its first leaf number
-    fresh = 1
+    order = {0: 0}  # node -> its first leaf number
+    dims = range(len(ranges))
     while open_nodes := {n: m for n, m in open_nodes.items() if m > 1}:
-        node = _tree(0, splits, keys)
-        spreads = [F.max(d) - F.min(d) for d in dims]
-        stats = rows.withColumn("node", node).where(F.col("node").isin(list(open_nodes))).groupBy("node").agg(F.sum("size").alias("bytes"), *(s.alias(f"s{i}") for i, s in enumerate(spreads)))
-        seen = {r["node"]: r for r in stats.collect()}
+        placed = rows.withColumn("node", _tree(0, splits)).where(F.col("node").isin(list(open_nodes)))
+        spreads = [(F.max(f"k{i}") - F.min(f"k{i}")).alias(f"s{i}") for i in dims]
         want = {}
-        for n, r in seen.items():
-            widest = max(range(len(dims)), key=lambda i: (r[f"s{i}"], -i))
-            want[n] = (widest, r["bytes"] * (open_nodes[n] // 2) / open_nodes[n])
-        found = _quantile_keys(rows, node, want, keys, tolerance)
+        for r in placed.groupBy("node").agg(F.sum("size").alias("bytes"), *spreads).collect():
+            widest = max(dims, key=lambda i: (r[f"s{i}"] / max(1, ranges[i]), -i))
+            want[r["node"]] = (widest, r["bytes"] * (open_nodes[r["node"]] // 2) / open_nodes[r["node"]])
+        found = _quantile_keys(placed, len(ranges), want, tolerance)
         following = {}
-        for n, m in open_nodes.items():
-            if n not in found:  # no rows, so its leaves stay empty
-                continue
-            left, right = fresh, fresh + 1
-            fresh += 2
-            splits[n] = (want[n][0], found[n], left, right)
-            order[left], order[right] = order[n], order[n] + m // 2
-            following[left], following[right] = m // 2, m - m // 2
+        for n, at in sorted(found.items()):  # a node without rows keeps its leaves empty
+            left, right = 2 * len(splits) + 1, 2 * len(splits) + 2
+            splits[n] = (want[n][0], at, left, right)
+            half = open_nodes[n] // 2
+            order[left], order[right] = order[n], order[n] + half
+            following[left], following[right] = half, open_nodes[n] - half
         open_nodes = following
-    numbers = {n: first for n, first in order.items() if n not in splits}
-    return _numbered(0, splits, keys, numbers)
-
-
-def _numbered(node: int, splits: dict[int, tuple[int, int, int, int]], keys: list[Column], numbers: dict[int, int]) -> Column:
-    if node not in splits:
-        return F.lit(numbers[node])
-    dim, at, left, right = splits[node]
-    return F.when(keys[dim] < at, _numbered(left, splits, keys, numbers)).otherwise(_numbered(right, splits, keys, numbers))
+    return _tree(0, splits, order)
 
 
 def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, metadata: tuple[str, ...] = ("lang", "source", "n_chars")) -> DataFrame:
@@ -137,26 +123,18 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None =
             return F.least(F.log2(F.abs(number) + 1) / 64, F.lit(1.0)) * (2**VALUE_BITS - 1)
         return F.coalesce(F.pmod(F.xxhash64(column.cast("string")), F.lit(2**VALUE_BITS - 1)) + 1, F.lit(0))
 
-    dims = [f"d{i}" for i in range(len(metadata) + 1)]
     size = F.coalesce(F.octet_length(text).cast("long"), F.lit(0)) + 16
-    rows = tables.written(
-        docs.select(
-            F.col("doc_id"),
-            size.alias("size"),
-            F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-            F.pmod(F.xxhash64("doc_id", text), F.lit(2**TIE_BITS)).alias("tie"),
-            *(scaled(m).cast("long").alias(d) for m, d in zip(metadata, dims)),
-            (F.log2(size.cast("double")) / 40 * (2**VALUE_BITS - 1)).cast("long").alias(dims[-1]),
-        ),
-        "kd-rows",
-    )
-    whole = rows.agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *(F.min(d).alias(f"lo{d}") for d in dims), *(F.max(d).alias(f"hi{d}") for d in dims)).first()
+    values = [*(scaled(m) for m in metadata), F.log2(size.cast("double")) / 64 * (2**VALUE_BITS - 1)]
+    tie = F.pmod(F.xxhash64("doc_id", text), F.lit(2**TIE_BITS))
+    rows = docs.select("doc_id", size.alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), tie.alias("tie"), *(v.cast("long").alias(f"v{i}") for i, v in enumerate(values)))
+    keys = [(F.shiftleft(f"v{i}", TIE_BITS) + F.col("tie")).alias(f"k{i}") for i in range(len(values))]
+    rows = tables.written(rows.select("doc_id", "size", "text_crc32", "tie", *keys), "kd-rows")
+    spreads = [(F.max(f"k{i}") - F.min(f"k{i}")).alias(f"s{i}") for i in range(len(values))]
+    whole = rows.agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *spreads).first()
     total = whole["bytes"] or 0
     leaves = shards or max(1, ceil(total / target_bytes))
-    # every dimension over its own range, so that spreads compare
-    ranges = [(d, whole[f"lo{d}"] or 0, max(1, (whole[f"hi{d}"] or 0) - (whole[f"lo{d}"] or 0))) for d in dims]
-    rows = rows.withColumns({d: F.floor((F.col(d) - lo) * (2**VALUE_BITS - 1) / span).cast("long") for d, lo, span in ranges})
-    placed = rows.select("doc_id", "size", "text_crc32", "tie", kd_leaves(rows, dims, leaves, total / leaves * TOLERANCE).alias("shard"))
+    number = kd_leaves(rows, [whole[f"s{i}"] or 0 for i in range(len(values))], leaves, total / leaves * TOLERANCE)
+    placed = rows.select("doc_id", "size", "text_crc32", "tie", number.alias("shard"))
     return number_slots(placed, ceil(whole["n"] / leaves / SLOT_ROWS))
 
 
