@@ -111,7 +111,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", width:
     found = hits(docs, benchmark, width)
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.md5(F.col("text").cast("string").cast("binary")).alias("key"))
     if mode == "documents":
-        return keyed.join(found.select("key").distinct(), "key", "left_anti").select("row.*")
+        # written, so that the join is between plain exchanges and a much copied text can be split
+        gone = tables.written(found.select("key").distinct(), "contaminated")
+        return keyed.join(gone, "key", "left_anti").select("row.*")
     if mode != "spans":
         raise ValueError("mode is documents or spans")
     at = found.select("key", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("at"))
