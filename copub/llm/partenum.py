@@ -129,7 +129,12 @@ def sketches(docs: np.ndarray, values: np.ndarray, n_docs: int) -> np.ndarray:
 
 
 PARITY = [f"p{i}" for i in range(SKETCH)]
-PROFILE = "doc_id long, text_key long, n long, set_id long, spare0 long, spare1 long, odd_band int, " + ", ".join(f"{p} long" for p in PARITY)
+PROFILE = "doc_id long, row_key long, n long, set_id long, spare0 long, spare1 long, odd_band int, " + ", ".join(f"{p} long" for p in PARITY)
+
+
+def _row_key():
+    """Tells rows apart, copies of a text too, so that fetching one row of a class stays one row."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
 
 
 def profile(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -144,9 +149,9 @@ def profile(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
             own = np.searchsorted(bands(max(1, int(sizes.max(initial=1))), percent), sizes)
             columns = [sizes, set_keys(of, values, words.n)[0], spare[0], spare[1], (own & 1).astype(np.int32)]
             arrays = [pa.array(x) for x in [*columns, *sketches(of, values, words.n).T.copy()]]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *arrays], ["doc_id", "text_key", "n", "set_id", "spare0", "spare1", "odd_band", *PARITY])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), *arrays], ["doc_id", "row_key", "n", "set_id", "spare0", "spare1", "odd_band", *PARITY])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long"), _row_key(), F.col("text").cast("string"))
     return rows.mapInArrow(run, PROFILE)
 
 
@@ -175,7 +180,7 @@ def signature_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 
 def shingle_sets(docs: DataFrame, keys: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(set_id, shingles) of the documents whose ``text_key`` is in ``keys``."""
+    """(set_id, shingles) of the documents whose ``row_key`` is in ``keys``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -185,8 +190,8 @@ def shingle_sets(docs: DataFrame, keys: DataFrame, width: int = WIDTH) -> DataFr
             sets = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(set_keys(of, values, words.n)[0]), sets], ["set_id", "shingles"])
 
-    rows = docs.select(F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
-    one = rows.join(keys, "text_key", "left_semi").dropDuplicates(["text_key"])
+    rows = docs.select(_row_key(), F.col("text").cast("string"))
+    one = rows.join(keys, "row_key", "left_semi").dropDuplicates(["row_key"])
     return one.select("text").mapInArrow(run, "set_id long, shingles array<long>")
 
 
@@ -200,7 +205,7 @@ def _near(percent: int):
 def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids whose whole sets link."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    keys = classes.join(ends, "set_id", "left_semi").select("text_key")
+    keys = classes.join(ends, "set_id", "left_semi").select("row_key")
     sets = tables.written(shingle_sets(docs, keys, width), "sets")
     joined = (
         pairs.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -224,7 +229,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     profiles = tables.written(profile(docs, width, percent), "profiles")
     classes = tables.written(
         profiles.where("n > 0").groupBy("set_id").agg(
-            F.min("doc_id").alias("low_id"), F.min("text_key").alias("text_key"),
+            F.min("doc_id").alias("low_id"), F.min("row_key").alias("row_key"),
             *(F.min(c).alias(c) for c in ("n", "spare0", "spare1", "odd_band", *PARITY)),
         ),
         "classes",
@@ -250,12 +255,15 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     # Members of a signature that are not in one component yet: all their pairs but the stars.
     placed = kept.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo <> hi and c > 2").select("sig")
-    members = tables.written(placed.join(mixed, "sig", "left_semi").join(sides, "set_id"), "members")
+    listed = placed.join(mixed, "sig", "left_semi").groupBy("set_id", "component").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
+    members = tables.written(listed.join(sides, "set_id"), "members")
+    members = members.withColumn("sig", F.explode("sigs"))
     x, y = members.alias("x"), members.alias("y")
+    # a pair is given out once, by the first signature that it shares
+    once = F.expr("array_min(array_intersect(x.sigs, y.sigs)) = x.sig")
     rest = (
-        x.join(y, F.expr("x.sig = y.sig and x.set_id < y.set_id and x.component <> y.component") & _near(percent))
+        x.join(y, F.expr("x.sig = y.sig and x.set_id < y.set_id and x.component <> y.component") & _near(percent) & once)
         .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
-        .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
     rest = tables.written(rest, "rest")
