@@ -53,7 +53,8 @@ def cosine_or_sentinel(
     """
     if measure not in ("similarity", "distance"):
         raise ValueError("measure must be 'similarity' or 'distance'")
-    cos = dot.cast("double") / (F.sqrt(sq1.cast("double")) * F.sqrt(sq2.cast("double")))
+    # one root, so equal vectors give exactly 1; rounding may not lift the rest above it
+    cos = F.least(F.lit(1.0), dot.cast("double") / F.sqrt(sq1.cast("double") * sq2.cast("double")))
     if measure == "distance":
         cos = F.lit(1.0) - cos
     s1 = F.coalesce(s1, F.lit(0))

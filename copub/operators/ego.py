@@ -22,9 +22,6 @@ from copub.operators import graph
 
 LINK_COLS = ["author_id", "year", "collab_id", "n"]
 
-# Buckets of one author's collaborators in the zero-filled grid.
-GRID_SALTS = 16
-
 
 def links_from_authorship(authorship: DataFrame) -> DataFrame:
     """Each author's view of the authorship table: one row per shared paper."""
@@ -57,19 +54,15 @@ def zero_filled(counts: DataFrame) -> DataFrame:
     Active year = a year with at least one collaborator.  Output is
     years x collaborators per author; missing counts are 0.
     """
-    # An author's active years are few (bounded by the year range), while
-    # collaborators can be many: collaborators are spread over GRID_SALTS
-    # buckets and the short year list is replicated per bucket, so one
-    # author's grid is built by several tasks.
-    years = counts.select("author_id", "year").distinct().select(
-        "author_id", "year", F.explode(F.sequence(F.lit(0), F.lit(GRID_SALTS - 1))).alias("_salt")
-    )
-    colls = counts.select("author_id", "collab_id").distinct().withColumn(
-        "_salt", F.pmod(F.xxhash64("collab_id"), F.lit(GRID_SALTS)).cast("int")
-    )
-    grid = years.join(colls, ["author_id", "_salt"]).drop("_salt")
-    return grid.join(counts, ["author_id", "year", "collab_id"], "left").select(
-        "author_id", "year", "collab_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    # An author's years are few, so a pair's counts by year are a short map and the
+    # author's years a short list; collaborators stay rows, which AQE can split.
+    entry = F.struct("year", F.col("n").cast("bigint").alias("n"))
+    pairs = counts.groupBy("author_id", "collab_id").agg(F.map_from_entries(F.collect_list(entry)).alias("by_year"))
+    years = counts.groupBy("author_id").agg(F.collect_set("year").alias("years"))
+    grid = pairs.join(years, "author_id").select("author_id", "collab_id", "by_year", F.explode("years").alias("year"))
+    return grid.select(
+        "author_id", "year", "collab_id",
+        F.coalesce(F.try_element_at("by_year", F.col("year")), F.lit(0)).cast("bigint").alias("n"),
     )
 
 

@@ -34,7 +34,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from copub.functions.columns import ratio
-from copub.session import checkpoint_root
 
 # Chart titles of the metric series (fixed values of the report).
 METRIC_TITLES = {
@@ -44,9 +43,6 @@ METRIC_TITLES = {
     "density": "density",
 }
 
-# An id list up to this many rows is broadcast (8 bytes per id -> <= 8 MB).
-BROADCAST_IDS_MAX = 1_000_000
-
 
 def authorship_rows(authorship: DataFrame) -> DataFrame:
     """``(paper_id, year, author_id)`` with NULL keys dropped.
@@ -140,39 +136,25 @@ def coauthor_pairs(authorship: DataFrame, block_authors: int = BLOCK_AUTHORS) ->
     return pairs.select("year", "src", "dst")
 
 
-def coauthor_pairs_from_papers(
-    papers: DataFrame, spread_above: int = 1024, block_authors: int = BLOCK_AUTHORS
-) -> DataFrame:
+def coauthor_pairs_from_papers(papers: DataFrame, block_authors: int = BLOCK_AUTHORS) -> DataFrame:
     """Ordered pairs ``(year, src, dst)`` from the array form, row by row.
 
     A row's list is used as is: a paper stored twice counts twice, an id
-    listed twice pairs twice.  Rows with at most ``spread_above`` authors pair
-    inside their scan task (two Generates, no shuffle); longer rows go to the
-    long form and through the blocked self-join, so one long list is paired
-    by many tasks.
+    listed twice pairs twice, and null ids or years change nothing.  A list
+    longer than ``block_authors`` is cut into blocks that are dealt out with
+    the whole list, so one long list is paired by many tasks.
     """
-    short = papers.where(F.size("authors") <= spread_above)
-    short_pairs = (
-        short.select("year", "authors", F.explode("authors").alias("src"))
+    block = F.lit(int(block_authors))
+    short = papers.where(F.size("authors") <= block).select("year", "authors", F.col("authors").alias("some"))
+    starts = F.sequence(F.lit(1), F.size("authors"), block)
+    long = papers.where(F.size("authors") > block).select("year", "authors", F.explode(starts).alias("at"))
+    long = long.repartition("at", F.xxhash64("authors")).select("year", "authors", F.slice("authors", F.col("at"), block).alias("some"))
+    return (
+        short.unionByName(long)
+        .select("year", "authors", F.explode("some").alias("src"))
         .select("year", "src", F.explode("authors").alias("dst"))
         .where(F.col("src") != F.col("dst"))
     )
-    # Long lists: identical rows are counted (deterministic basket key: id,
-    # year and a hash of the list), paired once, and the pairs repeated per
-    # copy, so a paper stored twice still counts twice.
-    keys = ["paper_id", "year", "_h", "_dup"]
-    long_rows = (
-        papers.where(F.size("authors") > spread_above)
-        .groupBy("paper_id", "year", "authors")
-        .agg(F.count(F.lit(1)).alias("_dup"))
-        .select("paper_id", "year", F.xxhash64("authors").alias("_h"), "_dup",
-                F.explode("authors").alias("author_id"))
-        .where(F.col("author_id").isNotNull())
-    )
-    long_pairs = _pairs(long_rows, keys, block_authors).select(
-        "year", "src", "dst", F.explode(F.array_repeat(F.lit(1), F.col("_dup").cast("int"))).alias("_copy")
-    ).drop("_copy")
-    return short_pairs.unionByName(long_pairs)
 
 
 def authorship_from_papers(papers: DataFrame) -> DataFrame:
@@ -204,60 +186,18 @@ def papers_in_year(df: DataFrame, year: int) -> DataFrame:
     return df.where(F.col("year") == F.lit(int(year)))
 
 
-def first_ids(ids: DataFrame, n: int, ranges: int | None = None) -> DataFrame:
-    """The ``n`` smallest ``paper_id`` of a distinct id table, without one
-    task holding them all.
-
-    The ids are range-partitioned and checkpointed (so range numbers stay
-    the same across the jobs that read them); the per-range counts (one
-    number per range) locate the range holding the n-th id; whole ranges
-    before it are kept as they are and only that range is cut by a top-k.
-    """
-    spark = ids.sparkSession
-    checkpoint_root(spark)
-    ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = (
-        ids.repartitionByRange(int(ranges), "paper_id")
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    counts = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
-    kept, cut, rest = [], None, int(n)
-    for rng, c in counts:
-        if rest <= 0:
-            break
-        if c <= rest:
-            kept.append(rng)
-            rest -= c
-        else:
-            cut = rng
-            break
-    whole = ranged.where(F.col("_range").isin(kept)).select("paper_id")
-    if cut is None or rest <= 0:
-        return whole
-    part = ranged.where(F.col("_range") == cut).select("paper_id").orderBy("paper_id").limit(rest)
-    return whole.unionByName(part)
-
-
-def limit_papers(authorship: DataFrame, year: int, limit: int = 0, broadcast_max: int = BROADCAST_IDS_MAX) -> DataFrame:
+def limit_papers(authorship: DataFrame, year: int, limit: int = 0) -> DataFrame:
     """The year's slice restricted to its first ``limit`` papers by id.
 
-    ``limit=0`` keeps every paper of the year.  Only the paper ids go
-    through the top-N.  Up to ``broadcast_max`` ids (a bound proven by
-    ``limit``) the top-N is one small task and is broadcast into the semi
-    join; above it, ``first_ids`` selects them range by range and the semi
-    join is a shuffle join.
+    ``limit=0`` keeps every paper of the year.  Only the paper ids go through
+    the top-N.
     """
     year_rows = papers_in_year(authorship, year)
     if not limit:
         return year_rows
     if limit < 0:
         raise ValueError("limit must be >= 0")
-    distinct_ids = year_rows.select("paper_id").distinct()
-    if limit <= broadcast_max:
-        ids = F.broadcast(distinct_ids.orderBy("paper_id").limit(int(limit)))
-    else:
-        ids = first_ids(distinct_ids, int(limit))
+    ids = year_rows.select("paper_id").distinct().orderBy("paper_id").limit(int(limit))
     return year_rows.join(ids, "paper_id", "left_semi")
 
 

@@ -145,7 +145,9 @@ tot AS (SELECT a.author_id, count(DISTINCT e.dst) AS num_collaborators
 
 def period_long_sql(fixture: str, plist, measure: str = "similarity", rounded: bool = True) -> str:
     """Independent formulation: theta join on the periods, windows over the list."""
-    cos = "dot / (n1 * n2)" if measure == "similarity" else "1 - dot / (n1 * n2)"
+    cos = "least(1.0, dot / sqrt(n1 * n2))"
+    if measure == "distance":
+        cos = f"1 - {cos}"
     if rounded:
         cos = f"round({cos}, 9)"
     return with_(fixture, periods_cte(plist), PAIRS, EGO, f"""ac AS (
@@ -157,7 +159,7 @@ fl AS (SELECT *, lag(pidx) OVER (PARTITION BY src, dst ORDER BY pidx) AS prev_pi
 ag AS (SELECT src, pidx, sum(c1) AS s1, sum(c2) AS s2, count(*) AS num,
               sum(CASE WHEN prev_pidx IS NULL OR prev_pidx < pidx - 1 THEN 1 ELSE 0 END) AS gp,
               sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS ga,
-              sum(c1 * c2) AS dot, sqrt(sum(c1 * c1)) AS n1, sqrt(sum(c2 * c2)) AS n2
+              CAST(sum(c1 * c2) AS DOUBLE) AS dot, CAST(sum(c1 * c1) AS DOUBLE) AS n1, CAST(sum(c2 * c2) AS DOUBLE) AS n2
        FROM fl GROUP BY src, pidx),
 lng AS (
   SELECT t.author_id, CAST(t.num_collaborators AS BIGINT) AS num_collaborators,
@@ -450,7 +452,7 @@ def q_edges_from_csv(spark, sf_dir):
     papers = papers_csv.read_papers_csv(spark, path)
     # rows with more than 4 authors take the blocked self-join, cut into
     # blocks of 3 authors (exercises cells on real rows)
-    return graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=4, block_authors=3))
+    return graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, block_authors=3))
 
 
 @register("json_roundtrip", with_(DENSE) + PAPERS_SUMMARY_SQL)

@@ -2,12 +2,13 @@
 
 Operators never create or configure a session; the caller owns it.  Writers
 that need a scratch location (round trips, streaming sinks) use the shared
-folder the cluster names in ``spark.checkpoint.dir``; only when that is unset
-(local tests) is a fresh temporary folder set as the checkpoint directory.
+folder the cluster names in ``spark.checkpoint.dir``; where that is unset, a
+local master (tests) uses the temporary folder and a cluster is refused.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,13 +34,13 @@ LARGE_CLUSTER_SHUFFLE_PARTITIONS = 40_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session (set one only if unset)."""
+    """The shared checkpoint folder of the session; only a local master may do without one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="copub-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.gettempdir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,6 +4,7 @@ The ``authors`` cell holds a list literal such as ``[1, 2, 3]``, which is
 valid JSON, so it is decoded with ``from_json`` and written with ``to_json``.
 Every column is read as text with an explicit schema and converted with
 ``try_cast`` (a malformed value becomes NULL instead of failing the job).
+Quotes inside a cell are doubled, as spreadsheet programs and pandas write them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def read_papers_csv(spark: SparkSession, path: str | list[str], with_order: bool
     ``with_order`` adds ``_order`` (file path, block start, row id): the
     position of the row in the files, for "last row wins" deduplication.
     """
-    raw = spark.read.schema(CSV_TEXT_SCHEMA).option("header", True).csv(path)
+    raw = spark.read.schema(CSV_TEXT_SCHEMA).option("header", True).option("escape", '"').csv(path)
     ids = F.from_json(F.col("authors"), T.ArrayType(T.LongType()))
     cols = [
         clean_id("id_paper").alias("paper_id"),
@@ -47,7 +48,7 @@ def write_papers_csv(papers: DataFrame, path: str, sort: bool = True, mode: str
     )
     if sort:
         out = out.orderBy("year", "id_paper")
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -58,4 +59,4 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
         else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(*cols).write.mode(mode).option("header", True).csv(path)
+    df.select(*cols).write.mode(mode).option("header", True).option("escape", '"').csv(path)

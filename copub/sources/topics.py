@@ -13,7 +13,9 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOPIC_MAP = "map<string,struct<id:bigint>>"
+from copub.functions.columns import clean_id
+
+TOPIC_MAP = "map<string,struct<id:string>>"
 
 
 def read_topic_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -21,13 +23,14 @@ def read_topic_ids(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return (
         text.select(F.explode(F.from_json("value", TOPIC_MAP)).alias("key", "rec"))
-        .select(F.col("rec.id").alias("id"))
+        .select(clean_id("rec.id").alias("id"))
         .where(F.col("id").isNotNull())
     )
 
 
 def write_topic_ids(ids: DataFrame, path: str, rows_per_file: int = 100_000, mode: str = "errorifexists") -> None:
     """Write ``(id)`` rows as keyed JSON objects, at most ``rows_per_file`` per file."""
+    ids = ids.distinct()  # an id is one key of an object
     n = ids.count()
     files = max(1, math.ceil(n / max(1, rows_per_file)))
     entries = ids.select(

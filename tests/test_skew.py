@@ -98,8 +98,8 @@ def test_array_form_long_rows_match_short_path(spark):
     rows = [(1, 2000, list(range(1, 41))), (1, 2000, list(range(1, 41))),  # same paper stored twice
             (2, 2001, [5, 5, 6, 7]), (3, 2001, [8, 9])]
     papers = spark.createDataFrame(rows, "paper_id bigint, year int, authors array<bigint>").repartition(3)
-    short = graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=10_000))
-    blocked = graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, spread_above=2, block_authors=7))
+    short = graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, block_authors=10_000))
+    blocked = graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers, block_authors=7))
     a = sorted(map(tuple, short.collect()))
     b = sorted(map(tuple, blocked.collect()))
     assert a == b
