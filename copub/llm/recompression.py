@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .words import U, Words, _tables, members_of_repeated, mix, split_words
 
@@ -199,5 +200,5 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     known = members_of_repeated(symbol_rows, "symbol", "bucket")
     window_rows = rows.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_window_rows(width), "window long, bucket int")
     again = members_of_repeated(window_rows, "window", "bucket")
-    schema = f"rest {rows.schema['rest'].dataType.simpleString()}, kept_text string, n_words long, n_removed long"
+    schema = T.StructType([T.StructField("rest", rows.schema["rest"].dataType)]).add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
     return rows.groupBy("bucket").cogroup(again.groupBy("bucket")).applyInArrow(_kept_rows(width), schema)
