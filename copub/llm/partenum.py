@@ -253,17 +253,25 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     first = tables.written(tables.components(links), "first")
 
     # Members of a signature that are not in one component yet: all their pairs but the stars.
+    # Near copies share many signatures, most of them with one centre, the smallest member; the
+    # signatures of a centre are compared together, so that a pair seldom meets twice.  `shared`
+    # has one bit set for each signature that a member has with the centre (numbers modulo 64).
     placed = kept.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo <> hi and c > 2").select("sig")
-    listed = placed.join(mixed, "sig", "left_semi").groupBy("set_id", "component").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
-    members = tables.written(listed.join(sides, "set_id"), "members")
-    members = members.withColumn("sig", F.explode("sigs"))
+    mixed = (
+        placed.groupBy("sig")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c"), F.min("set_id").alias("centre"))
+        .where("lo <> hi and c > 2")
+        .select("sig", "centre")
+    )
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(sig), 64) as int))")
+    around = placed.join(mixed, "sig").groupBy("centre", "set_id", "component").agg(F.bit_or(bit).alias("shared"))
+    members = tables.written(around.join(sides, "set_id"), "members")
     x, y = members.alias("x"), members.alias("y")
-    # a pair is given out once, by the first signature that it shares
-    once = F.expr("array_min(array_intersect(x.sigs, y.sigs)) = x.sig")
+    meet = F.expr("x.centre = y.centre and x.set_id < y.set_id and x.component <> y.component and x.shared & y.shared <> 0")
     rest = (
-        x.join(y, F.expr("x.sig = y.sig and x.set_id < y.set_id and x.component <> y.component") & _near(percent) & once)
+        x.join(y, meet & _near(percent))
         .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+        .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
     rest = tables.written(rest, "rest")
