@@ -216,16 +216,8 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, pe
     return joined.where(F.col("both") * 100 >= union * percent).select("a", "b")
 
 
-def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    ``component_id`` is the smallest doc_id reachable by links, the document
-    itself included.  Null and wordless texts have empty sets and link with
-    nothing.  Repeated rows each give a row.  A row whose doc_id is null takes
-    part like any other, but names no component while another member has an
-    id.  Columns other than doc_id and text are ignored.  Sets are told apart
-    by a 64-bit hash of the whole set.
-    """
+def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' profiles, and (set_id, low_id, component) of every set that is not empty."""
     profiles = tables.written(profile(docs, width, percent), "profiles")
     classes = tables.written(
         profiles.where("n > 0").groupBy("set_id").agg(
@@ -280,6 +272,20 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
     placed = classes.select("set_id", "low_id").join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "set_id"))
+    return profiles, placed
+
+
+def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    ``component_id`` is the smallest doc_id reachable by links, the document
+    itself included.  Null and wordless texts have empty sets and link with
+    nothing.  Repeated rows each give a row.  A row whose doc_id is null takes
+    part like any other, but names no component while another member has an
+    id.  Columns other than doc_id and text are ignored.  Sets are told apart
+    by a 64-bit hash of the whole set.
+    """
+    profiles, placed = _groups(docs, width, percent)
     lowest = placed.groupBy("component").agg(F.min("low_id").alias("component_id"))
     answer = placed.join(lowest, "component").select("set_id", "component_id")
     out = profiles.join(answer, "set_id", "left")
@@ -298,10 +304,22 @@ def _close(pairs: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents without near duplicates: of each component the smallest doc_id stays.
+    """The rows without near duplicates: of each component one row stays, all its columns.
 
-    Repeated rows of that doc_id are cut to one; rows without doc_id stay.
+    It is the row with the smallest doc_id, then the smallest hash of doc_id and text; a row
+    whose doc_id is null stays only where no other member has an id.  Rows are judged by their
+    own text, so texts that share a doc_id but no component all stay.  Of rows that are equal in
+    doc_id and text any one stays.  Null and wordless texts link with nothing and all stay.
     """
-    linked = link(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.join(linked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id is null"))
+    id_ = F.col("doc_id").cast("long")
+    key = [id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0)).alias("id")]
+    profiles, placed = _groups(docs, width, percent)
+    first = F.min(F.struct(*key, "row_key")).alias("first")
+    of_set = profiles.where("n > 0").groupBy("set_id").agg(first)
+    chosen = of_set.join(placed.select("set_id", "component"), "set_id").groupBy("component").agg(F.min("first").alias("first"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # repeated rows go before the join, in the task that reads them
+    rows = docs.where(worded).select(row, *key, _row_key()).dropDuplicates(["no_id", "id", "row_key"])
+    kept = rows.join(chosen.select("first.*"), ["no_id", "id", "row_key"], "left_semi")
+    return kept.select("row").unionByName(docs.where(~worded).select(row)).select("row.*")

@@ -193,8 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", folds: int =
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Every row's doc_id, score (0 to 1, higher: toxic likelier) and significant passages.
+def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """Every row's ``key``, score (0 to 1, higher: toxic likelier) and significant passages.
 
     ``passages`` lists first and last word (counted from 0, words being runs of ASCII letters
     and digits and non-ASCII characters) and calibrated score.  Whole texts are scanned.  Null
@@ -212,7 +212,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             out = logistic(curve_features(*calibrated(found, n, m.rate, m.log_k)) @ m.curve)
             level = lambda i, s: float(m.rate * s - m.log_k - np.log(max(n[i], 1)))
             spans = [[{"first": a, "last": b, "level": level(i, s)} for a, b, s in x if level(i, s) >= SIGNIFICANT] for i, x in enumerate(found)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out), pa.array(spans, passage)], ["doc_id", "score", "passages"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(out), pa.array(spans, passage)], [key, "score", "passages"])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, score double, passages array<struct<first: long, last: long, level: double>>")
+    kind = dict(docs.dtypes)[key]
+    return docs.select(key, F.col("text").cast("string")).mapInArrow(run, f"{key} {kind}, score double, passages array<struct<first: long, last: long, level: double>>")

@@ -18,18 +18,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the toxicity cut.
-
-    The scorer returns rows with doc_id, so a doc_id goes if any row of it is toxic; rows
-    without doc_id stay.
-    """
+    """Documents that score below the toxicity cut, every row by its own text."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    toxic = toxicity.score(docs, model).where(F.col("score") >= TOXIC_CUT).select("doc_id")
-    return docs.join(toxic, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.select(F.struct(*COLUMNS).alias("row"), "text")
+    return toxicity.score(rows, model, key="row").where(F.col("score") < TOXIC_CUT).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group of near copies."""
+    """One row, one with the smallest doc_id, of each group of near copies, with or without ids."""
     return partenum.keep_one(docs).select(*COLUMNS)
 
 
