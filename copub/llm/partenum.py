@@ -18,7 +18,7 @@ its whole sets were compared.
 Work on skewed data: texts with equal sets form one class; a task forwards
 a signature once per class; candidates of one signature are linked to one
 centre first (a star, not all pairs), and only members that the verified links
-leave in other components are compared further.
+leave in other components are compared further, a large group block by block.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from .words import U, chunks, distinct, members_of_repeated, mix, shingles, spli
 
 WIDTH = 5
 PERCENT = 80
+BLOCK = 1024  # members of a centre that one side of a join key holds, about
 
 
 def bands(largest: int, percent: int) -> np.ndarray:
@@ -258,11 +259,13 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(sig), 64) as int))")
     around = placed.join(mixed, "sig").groupBy("centre", "set_id", "component").agg(F.bit_or(bit).alias("shared"))
     members = tables.written(around.join(sides, "set_id"), "members")
-    x, y = members.alias("x"), members.alias("y")
-    meet = F.expr("x.centre = y.centre and x.set_id < y.set_id and x.component <> y.component and x.shared & y.shared <> 0")
+    cells = _cells(members)
+    x, y = cells.alias("x"), cells.alias("y")
+    meet = F.expr("x.centre = y.centre and x.i = y.i and x.j = y.j and x.component <> y.component and x.shared & y.shared <> 0")
+    once = F.expr("x.mine < y.mine or (x.i = x.j and x.set_id < y.set_id)")
     rest = (
-        x.join(y, meet & _near(percent))
-        .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+        x.join(y, meet & once & _near(percent))
+        .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
@@ -297,6 +300,23 @@ def _commonest_first() -> Window:
     return Window.partitionBy("set_id", "next_band").orderBy(F.desc("size"), F.desc("sig"))
 
 
+def _cells(members: DataFrame, block: int | None = None) -> DataFrame:
+    """Members of a centre in the cells (i, j), i <= j, of its blocks of about ``block`` members.
+
+    Block i meets block j in one cell and itself in (i, i), so every pair of a centre's members
+    meets in exactly one cell, and no join key has more than two blocks, however large a
+    centre's group is.
+    """
+    blocks = F.ceil(F.count("*") / F.lit(block or BLOCK)).cast("int").alias("blocks")
+    # written, so that the join is between plain exchanges and a large group can be split
+    large = tables.written(members.groupBy("centre").agg(blocks).where("blocks > 1"), "large")
+    blocks = F.coalesce("blocks", F.lit(1))
+    mine = F.pmod(F.xxhash64("set_id"), blocks).cast("int").alias("mine")
+    others = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    dealt = members.join(large, "centre", "left").select(*members.columns, mine, others)
+    return dealt.select(*members.columns, "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+
 def _close(pairs: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that meet the bound of linked pairs."""
     x, y = sides.alias("x"), sides.alias("y")

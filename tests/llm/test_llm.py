@@ -84,6 +84,26 @@ def test_jaccard_join_near_the_bound(spark, seed):
     assert Counter(map(tuple, partenum.link(df).collect())) == brute_components(rows)
 
 
+def test_members_of_a_centre_meet_once_in_cells_of_bounded_size(spark):
+    members = spark.range(500).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("centre"), F.col("id").alias("set_id"))
+    cells = partenum._cells(members, block=16).toPandas()
+    met = Counter()
+    for (centre, i, j), rows in cells.groupby(["centre", "i", "j"]):
+        assert len(rows) < 100  # of 400 in one group before
+        for x in rows.itertuples():
+            met.update((centre, x.set_id, y.set_id) for y in rows.itertuples() if x.mine == i and y.mine == j and (i < j or x.set_id < y.set_id))
+    assert set(met.values()) == {1} and {frozenset(k[1:]) for k in met} == {frozenset((a, b)) for a in range(400) for b in range(a)}
+
+
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_texts_that_share_a_passage_but_are_no_copies(spark, block, monkeypatch):
+    monkeypatch.setattr(partenum, "BLOCK", block)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(10 * g + c, f"{passage} " + " ".join(f"g{g}w{i}" for i in range(20)) + f" c{c}" * c) for g in range(12) for c in range(3)]
+    got = partenum.link(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == brute_components(rows)
+
+
 def brute_repeats(texts, width=35):
     cut = [(i, WORD.findall(t or "")) for i, t in texts]
     seen = Counter(tuple(w[j : j + width]) for _, w in cut for j in range(len(w) - width + 1))
