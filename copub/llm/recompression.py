@@ -20,11 +20,15 @@ A symbol or window occurs at most once a bucket in the shuffles, so a passage
 that very many documents share is not gathered in one task.  The documents are
 shuffled once; later steps read the same exchange.  Windows without a deciding
 stretch (long runs of a word) are always hashed.
+
+Equal rows (doc_id and text) would share a bucket.  Where they are more than one holds,
+one of them stands for all in the steps above, and the rows themselves are answered
+where they are read: as copies of each other they lose every window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import U, Words, _tables, members_of_repeated, mix, split_words
+from . import tables
+from .words import U, Words, _tables, chunks, members_of_repeated, mix, split_words
 
 WINDOW = 35
 ROUNDS = 5
 RUN_ROUNDS = (0, 2)
 BUCKET_BYTES = 4 << 20
+ROW_BYTES = 64  # what a row's other columns count
+BROADCAST_ROWS = 2_000_000  # keys of heavy copies up to which they are broadcast
 _FAR = 1 << 60
 
 
@@ -147,36 +154,53 @@ def _window_rows(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return run
 
 
+def _without(words: Words, gone: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of each text what is left without the words in ``gone``, its words, and the words gone."""
+    kept = np.flatnonzero(~gone)
+    n = np.diff(words.first)
+    removed = np.bincount(words.doc[gone], minlength=words.n)
+    # Of the bytes stay those of kept words, and one separator after each but a text's last.
+    data = words.data.copy()
+    follows = np.zeros(len(kept), bool)
+    follows[:-1] = words.doc[kept[1:]] == words.doc[kept[:-1]]
+    stay = np.zeros(len(data) + 1, bool)
+    stay[:-1] = _marked(words.start[kept], words.end[kept], len(data))
+    spaces = words.end[kept[follows]]
+    stay[spaces] = True
+    data[spaces] = 0x20
+    total = np.concatenate([[0], np.cumsum(stay[:-1])])
+    lengths = np.zeros(words.n, np.int64)
+    np.add.at(lengths, words.doc[kept], words.end[kept] - words.start[kept])
+    np.add.at(lengths, words.doc[kept[follows]], 1)
+    assert total[-1] == lengths.sum()
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    text = pa.StringArray.from_buffers(words.n, pa.py_buffer(offsets), pa.py_buffer(data[stay[:-1]].tobytes()))
+    return text, n, removed
+
+
 def _kept_rows(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         words = split_words(_table(docs, "text"), lower=False)
         start, value = windows(words, width)
         again = np.isin(value.view(np.int64), known.column("window").to_numpy()) | _often(value)
-        gone = _marked(start[again], start[again] + width, len(words.hash))
-        kept = np.flatnonzero(~gone)
-        n = np.diff(words.first)
-        removed = np.bincount(words.doc[gone], minlength=words.n)
-        # Of the bytes stay those of kept words, and one separator after each but a text's last.
-        data = words.data.copy()
-        follows = np.zeros(len(kept), bool)
-        follows[:-1] = words.doc[kept[1:]] == words.doc[kept[:-1]]
-        stay = np.zeros(len(data) + 1, bool)
-        stay[:-1] = _marked(words.start[kept], words.end[kept], len(data))
-        spaces = words.end[kept[follows]]
-        stay[spaces] = True
-        data[spaces] = 0x20
-        total = np.concatenate([[0], np.cumsum(stay[:-1])])
-        lengths = np.zeros(words.n, np.int64)
-        np.add.at(lengths, words.doc[kept], words.end[kept] - words.start[kept])
-        np.add.at(lengths, words.doc[kept[follows]], 1)
-        assert total[-1] == lengths.sum()
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        text = pa.StringArray.from_buffers(words.n, pa.py_buffer(offsets), pa.py_buffer(data[stay[:-1]].tobytes()))
+        text, n, removed = _without(words, _marked(start[again], start[again] + width, len(words.hash)))
         return pa.table({"rest": docs.column("rest"), "kept_text": text, "n_words": n, "n_removed": removed})
 
     return run
 
 
+def _copies(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows that others equal: a text with a window loses every word, a shorter one none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            words = split_words(batch.column("text"), lower=False)
+            text, n, removed = _without(words, (np.diff(words.first) >= width)[words.doc])
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), text, pa.array(n), pa.array(removed)], ["rest", "kept_text", "n_words", "n_removed"])
+
+    return run
+
+
 def remove_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """Every row of ``docs`` with kept_text, n_words and n_removed.
 
@@ -192,13 +216,45 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     buckets = max(size // BUCKET_BYTES + 1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int").alias("bucket"),
+        F.xxhash64("doc_id", "text").alias("copy"),
         F.col("text").cast("string"),
         F.struct(*others).alias("rest"),
     )
+    schema = T.StructType([T.StructField("rest", rows.schema["rest"].dataType)]).add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
+    heavy = tables.written(_heavy(rows), "heavy-copies")
+    if heavy.isEmpty():
+        return _compared(rows, buckets, width, schema)
+    # One row stands for such copies among the others; of themselves every window repeats.
+    heavy = _small(heavy)
+    alone = rows.join(heavy, "copy", "left_anti").withColumn("stands", F.lit(False))
+    one = rows.join(heavy, "copy", "left_semi").groupBy("copy").agg(F.first("text").alias("text"))
+    one = one.select("copy", "text", F.lit(None).cast(rows.schema["rest"].dataType).alias("rest"), F.lit(True).alias("stands"))
+    both = alone.unionByName(one).select("copy", "text", F.struct(F.col("rest").alias("row"), "stands").alias("rest"))
+    whole = T.StructType([both.schema["rest"], *schema.fields[1:]])
+    kept = _compared(both, buckets, width, whole).where("not rest.stands").select(F.col("rest.row").alias("rest"), *schema.names[1:])
+    copies = rows.join(heavy, "copy", "left_semi").select("text", "rest").mapInArrow(_copies(width), schema)
+    return kept.unionByName(copies)
+
+
+def _heavy(rows: DataFrame) -> DataFrame:
+    """(copy): the keys of equal rows that would fill a bucket on their own; few, as buckets are.
+
+    A row counts as some bytes more than its text, for its other columns.
+    """
+    weight = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES)
+    return rows.groupBy("copy").agg(F.count("*").alias("n"), weight.alias("bytes")).where((F.col("n") > 1) & (F.col("bytes") > BUCKET_BYTES)).select("copy")
+
+
+def _small(heavy: DataFrame) -> DataFrame:
+    """Broadcast as far as its count allows: else copies would meet in one task after all."""
+    return F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
+
+
+def _compared(rows: DataFrame, buckets: int, width: int, schema: T.StructType) -> DataFrame:
+    """The rows (copy, text, rest) without repeated passages, dealt to buckets by ``copy``."""
+    rows = rows.select(F.pmod("copy", F.lit(buckets)).cast("int").alias("bucket"), "text", "rest")
     symbol_rows = rows.groupBy("bucket").applyInArrow(_symbol_rows(width), "symbol long, bucket int")
     known = members_of_repeated(symbol_rows, "symbol", "bucket")
     window_rows = rows.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_window_rows(width), "window long, bucket int")
     again = members_of_repeated(window_rows, "window", "bucket")
-    schema = T.StructType([T.StructField("rest", rows.schema["rest"].dataType)]).add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
     return rows.groupBy("bucket").cogroup(again.groupBy("bucket")).applyInArrow(_kept_rows(width), schema)

@@ -131,6 +131,33 @@ def test_repeats_of_small_alphabets(spark):
     assert Counter(map(tuple, got.collect())) == brute_repeats(rows)
 
 
+def test_repeats_of_equal_rows_that_fill_buckets(spark, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(60))
+    part, short = " ".join(f"w{i}" for i in range(10, 50)), "a  few\nwords"
+    texts = [(None, base)] * 40 + [(1, short)] * 60 + [(None, None)] * 30 + [(2, "x " + part + " y"), (3, part), (None, part), (4, "alone"), (5, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4).withColumns({"copy": F.lit(1), "stands": F.lit("s"), "a.b": F.lit(0)})
+    monkeypatch.setattr(recompression, "BUCKET_BYTES", 1500)
+    largest = spark.sparkContext.accumulator(0)
+    kept_rows = recompression._kept_rows
+
+    def counted(width):
+        run = kept_rows(width)
+
+        def with_count(docs, known):
+            if docs.num_rows > 30:
+                largest.add(1)
+            return run(docs, known)
+
+        return with_count
+
+    monkeypatch.setattr(recompression, "_kept_rows", counted)
+    out = recompression.remove_repeats(df).select("rest.*", "n_words", "n_removed", "kept_text").toPandas()
+    assert largest.value == 0  # no bucket holds more than a few rows
+    assert list(out.columns) == ["doc_id", "copy", "stands", "a.b", "n_words", "n_removed", "kept_text"]
+    got = Counter((None if i != i or i is None else int(i), n, m, t) for i, n, m, t in zip(out.doc_id, out.n_words, out.n_removed, out.kept_text))
+    assert got == brute_repeats(texts)
+
+
 def test_bpe_equals_the_library(docs, empty, texts):
     from tokenizers import Tokenizer
 
