@@ -116,9 +116,9 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_machine(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], factors: int = FACTORS, epochs: int = 5, seed: int = 7) -> Machine:
+def fit_machine(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], factors: int = FACTORS, epochs: int = 5, seed: int = 7, metadata: int = 0) -> Machine:
     """Fit on (buckets, values, dense features, label) rows; without rows every score is one half."""
-    extra = len(rows[0][2]) if rows else STATISTICS
+    extra = len(rows[0][2]) if rows else STATISTICS + metadata
     rng = np.random.default_rng(seed)
     size = WORD_BUCKETS + extra
     dense = np.array([r[2] for r in rows]).reshape(len(rows), extra)
@@ -170,10 +170,7 @@ def _columns(docs: DataFrame, metadata: list[str]) -> list:
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int = 4, held_out: int = 2, metadata: tuple[str, ...] = (), limit: int = MAX_LABELLED) -> Machine:
     """Fit on at most ``limit`` labelled documents outside the held-out fold."""
     names = list(metadata)
-    sample = labelled_sample(docs, labels, column, folds, held_out, limit)
-    if names:
-        # the same rows again, by id, for their metadata
-        sample = sample.drop("text").distinct().join(docs.select("doc_id", *_columns(docs, names)), "doc_id")
+    sample = labelled_sample(docs, labels, column, folds, held_out, limit, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -196,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int
         (b.values.to_numpy().astype(np.int64), v.values.to_numpy().astype(float), np.array(x.as_py()), label.as_py())
         for b, v, x, label in zip(got["buckets"], got["values"], got["dense"], got["label"])
     ]
-    return fit_machine(rows)
+    return fit_machine(rows, metadata=len(names))
 
 
 def score(docs: DataFrame, machine: Machine, metadata: tuple[str, ...] = ()) -> DataFrame:

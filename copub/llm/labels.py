@@ -11,8 +11,8 @@ def fold(key: str, folds: int):
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(folds))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int, held_out: int, limit: int) -> DataFrame:
-    """(doc_id, text, label, quarter) of at most ``limit`` labelled rows outside the held-out fold.
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int, held_out: int, limit: int, numbers: list[str] = ()) -> DataFrame:
+    """(doc_id, text, label, quarter, and the columns ``numbers`` as double) of at most ``limit`` labelled rows outside the held-out fold.
 
     The rows with the lowest hashes of doc_id are taken.  A doc_id that is null, or whose
     labels are null or contradict each other, is left out.  At most ``limit`` ids are
@@ -27,4 +27,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int,
     )
     chosen = known.orderBy("hash", "doc_id").limit(limit)
     quarter = F.shiftrightunsigned(F.xxhash64(F.lit(1), "doc_id"), 62).cast("int")
-    return docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", quarter.alias("quarter"))
+    more = [F.col(f"`{c}`") for c in numbers]
+    given = [c.cast("double").alias(name) for c, name in zip(more, numbers)]
+    rows = docs.select("doc_id", F.col("text").cast("string"), *given)
+    return rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", quarter.alias("quarter"), *more)

@@ -13,6 +13,7 @@ from .labels import fold
 
 SHARDS = 40
 QUALITY_CUT = 0.7
+QUALITY_METADATA = ("n_chars",)
 TOXIC_CUT = 0.5
 
 
@@ -23,10 +24,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; the fold crc32(doc_id) mod 4 = 2 is held out."""
     docs = _read(spark, sf_dir, "documents")
-    machine = fm_quality.fit(docs, _read(spark, sf_dir, "labels"), "quality", folds=4, held_out=2)
+    machine = fm_quality.fit(docs, _read(spark, sf_dir, "labels"), "quality", folds=4, held_out=2, metadata=QUALITY_METADATA)
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
     predicted = F.when(F.col("score") >= QUALITY_CUT, 1).otherwise(0)
-    return fm_quality.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+    return fm_quality.score(docs, machine, QUALITY_METADATA).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

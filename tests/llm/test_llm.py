@@ -272,6 +272,18 @@ def test_classifiers_on_awkward_tables(spark, docs, empty, texts):
     assert fm_quality.score(empty, machine).count() == toxicity.score(empty, model).count() == 0
 
 
+def test_quality_uses_metadata(spark, tmp_path):
+    rows = [(i, "the same few words", 10 if i % 2 else 1000) for i in range(400)] + [(None, "the same few words", None), (400, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = queries.op1_fm_quality(spark, str(tmp_path)).toPandas()
+    assert len(out) == len(rows)
+    known = out[out.held_out]
+    assert known.score[known.doc_id % 2 == 1].min() > known.score[known.doc_id % 2 == 0].max() and len(known) > 50
+    spark.createDataFrame([], "doc_id long, quality int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+    assert set(queries.op1_fm_quality(spark, str(tmp_path)).toPandas().score) == {0.5}  # nothing to fit on
+
+
 def test_segments_are_the_maximal_ones():
     # joined where the way between costs less than either end gains; on a tie they stay apart
     assert toxicity.segments([0, 1, 4, 30], [2.0, -1.0, 3.0, 1.0], 0.25) == [(0, 4, 3.5), (30, 30, 1.0)]
