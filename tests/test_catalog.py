@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from copub.plans import catalog
 from oracle_check import compare, duck_connection
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 
 # Queries that write a round trip before returning (plan check skipped).
 WRITES = {n for n in QUERIES if any(k in n for k in ("roundtrip", "files", "store", "stream", "from_csv", "from_json"))}
