@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tables
-from .words import U, chunks, distinct, members_of_repeated, mix, shingles, split_words
+from .words import U, chunks, distinct, drawn_key, members_of_repeated, mix, shingles, split_words
 
 WIDTH = 5
 PERCENT = 80
@@ -130,7 +130,7 @@ def sketches(docs: np.ndarray, values: np.ndarray, n_docs: int) -> np.ndarray:
 
 
 PARITY = [f"p{i}" for i in range(SKETCH)]
-PROFILE = "doc_id long, row_key long, n long, set_id long, spare0 long, spare1 long, odd_band int, " + ", ".join(f"{p} long" for p in PARITY)
+PROFILE = "doc_id long, row_key long, n long, set_id long, set_check long, spare0 long, spare1 long, odd_band int, " + ", ".join(f"{p} long" for p in PARITY)
 
 
 def _row_key():
@@ -138,39 +138,42 @@ def _row_key():
     return F.xxhash64("doc_id", "text").alias("row_key")
 
 
-def profile(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row per document: size, hash and sketch of its shingle set, signatures to spare."""
+def profile(docs: DataFrame, key: int, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One row per document: size, hashes and sketch of its shingle set, signatures to spare.
+
+    ``key`` is that of the word hashes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            words = split_words(batch.column("text"), lower=True)
+            words = split_words(batch.column("text"), lower=True, key=key)
             of, values = distinct(*shingles(words, width))
             sizes = np.bincount(of, minlength=words.n)
             _, _, spare = signatures(of, values, words.n, percent)
             own = np.searchsorted(bands(max(1, int(sizes.max(initial=1))), percent), sizes)
-            columns = [sizes, set_keys(of, values, words.n)[0], spare[0], spare[1], (own & 1).astype(np.int32)]
+            columns = [sizes, *set_keys(of, values, words.n), spare[0], spare[1], (own & 1).astype(np.int32)]
             arrays = [pa.array(x) for x in [*columns, *sketches(of, values, words.n).T.copy()]]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), *arrays], ["doc_id", "row_key", "n", "set_id", "spare0", "spare1", "odd_band", *PARITY])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), *arrays], ["doc_id", "row_key", "n", "set_id", "set_check", "spare0", "spare1", "odd_band", *PARITY])
 
     rows = docs.select(F.col("doc_id").cast("long"), _row_key(), F.col("text").cast("string"))
     return rows.mapInArrow(run, PROFILE)
 
 
-def signature_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def signature_rows(docs: DataFrame, key: int, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(sig, set_id) of every document's set; a task's equal sets emit them once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in chunks(batches, "text"):
-            words = split_words(batch.column("text"), lower=True)
+            words = split_words(batch.column("text"), lower=True, key=key)
             of, values = distinct(*shingles(words, width))
             ids = set_keys(of, values, words.n)[0]
             if len(seen) > 1_000_000:  # memory bound; a repeated row is dropped after the shuffle
                 seen.clear()
             fresh = np.zeros(words.n, bool)
-            for i, key in enumerate(ids.tolist()):
-                if key not in seen:
-                    seen.add(key)
+            for i, set_id in enumerate(ids.tolist()):
+                if set_id not in seen:
+                    seen.add(set_id)
                     fresh[i] = True
             keep = fresh[of]
             sig_of, sig, _ = signatures(of[keep], values[keep], words.n, percent)
@@ -180,19 +183,19 @@ def signature_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "sig long, set_id long")
 
 
-def shingle_sets(docs: DataFrame, keys: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(set_id, shingles) of the documents whose ``row_key`` is in ``keys``."""
+def shingle_sets(docs: DataFrame, chosen: DataFrame, key: int, width: int = WIDTH) -> DataFrame:
+    """(set_id, shingles) of the documents whose ``row_key`` is in ``chosen``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            words = split_words(batch.column("text"), lower=True)
+            words = split_words(batch.column("text"), lower=True, key=key)
             of, values = distinct(*shingles(words, width))
             offsets = np.searchsorted(of, np.arange(words.n + 1)).astype(np.int32)
             sets = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(set_keys(of, values, words.n)[0]), sets], ["set_id", "shingles"])
 
     rows = docs.select(_row_key(), F.col("text").cast("string"))
-    one = rows.join(keys, "row_key", "left_semi").dropDuplicates(["row_key"])
+    one = rows.join(chosen, "row_key", "left_semi").dropDuplicates(["row_key"])
     return one.select("text").mapInArrow(run, "set_id long, shingles array<long>")
 
 
@@ -203,11 +206,11 @@ def _near(percent: int):
     return (small * 100 >= large * percent) & (bits * (100 + percent) <= (small + large) * (100 - percent))
 
 
-def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: int, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids whose whole sets link."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    keys = classes.join(ends, "set_id", "left_semi").select("row_key")
-    sets = tables.written(shingle_sets(docs, keys, width), "sets")
+    chosen = classes.join(ends, "set_id", "left_semi").select("row_key")
+    sets = tables.written(shingle_sets(docs, chosen, key, width), "sets")
     joined = (
         pairs.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb")), "b")
         .join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -217,17 +220,30 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, pe
     return joined.where(F.col("both") * 100 >= union * percent).select("a", "b")
 
 
+def _classes(docs: DataFrame, width: int, percent: int) -> tuple[int, DataFrame, DataFrame]:
+    """The key of the hashes, the rows' profiles, and one row per distinct set that is not empty.
+
+    A set is known by a 64-bit hash.  A second, independent hash tells whether two sets share
+    the first one; then all is hashed anew with another key.
+    """
+    while True:
+        key = drawn_key()
+        profiles = tables.written(profile(docs, key, width, percent), "profiles")
+        of_set = profiles.where("n > 0").groupBy("set_id").agg(
+            F.min("doc_id").alias("low_id"), F.min("row_key").alias("row_key"), F.min("set_check").alias("set_check"), F.max("set_check").alias("other"),
+            *(F.min(c).alias(c) for c in ("n", "spare0", "spare1", "odd_band", *PARITY)),
+        )
+        classes = tables.written(of_set, "classes")
+        if classes.where("set_check <> other").isEmpty():
+            return key, profiles, classes
+        tables.drop(profiles)
+        tables.drop(classes)
+
+
 def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows' profiles, and (set_id, low_id, component) of every set that is not empty."""
-    profiles = tables.written(profile(docs, width, percent), "profiles")
-    classes = tables.written(
-        profiles.where("n > 0").groupBy("set_id").agg(
-            F.min("doc_id").alias("low_id"), F.min("row_key").alias("row_key"),
-            *(F.min(c).alias(c) for c in ("n", "spare0", "spare1", "odd_band", *PARITY)),
-        ),
-        "classes",
-    )
-    shared = tables.written(members_of_repeated(signature_rows(docs, width, percent), "sig", "set_id"), "shared")
+    key, profiles, classes = _classes(docs, width, percent)
+    shared = tables.written(members_of_repeated(signature_rows(docs, key, width, percent), "sig", "set_id"), "shared")
     # Of its signatures a set may leave out its `spare` commonest: see the module's docstring
     # (any global order of signatures will do; this one starts with the rarest).
     sized = shared.join(shared.groupBy("sig").agg(F.count("*").alias("size")), "sig")
@@ -242,7 +258,7 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     sides = classes.select("set_id", "n", *PARITY)
     stars = kept.join(kept.groupBy("sig").agg(F.min("set_id").alias("a")), "sig").where("a <> set_id").select("a", F.col("set_id").alias("b")).distinct()
     stars = tables.written(_close(stars, sides, percent), "stars")
-    links = tables.written(verify(docs, classes, stars, width, percent), "links")
+    links = tables.written(verify(docs, classes, stars, key, width, percent), "links")
     first = tables.written(tables.components(links), "first")
 
     # Members of a signature that are not in one component yet: all their pairs but the stars.
@@ -270,7 +286,7 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         .join(stars, ["a", "b"], "left_anti")
     )
     rest = tables.written(rest, "rest")
-    more = verify(docs, classes, rest, width, percent)
+    more = verify(docs, classes, rest, key, width, percent)
     nodes = tables.components(tables.written(links.unionByName(more), "all-links"))
 
     placed = classes.select("set_id", "low_id").join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -286,7 +302,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     nothing.  Repeated rows each give a row.  A row whose doc_id is null takes
     part like any other, but names no component while another member has an
     id.  Columns other than doc_id and text are ignored.  Sets are told apart
-    by a 64-bit hash of the whole set.
+    by two 64-bit hashes of the whole set, under a key drawn for the run.
     """
     profiles, placed = _groups(docs, width, percent)
     lowest = placed.groupBy("component").agg(F.min("low_id").alias("component_id"))

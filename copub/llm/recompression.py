@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tables
-from .words import U, Words, _tables, chunks, members_of_repeated, mix, split_words
+from .words import U, Words, _tables, chunks, drawn_key, members_of_repeated, mix, split_words
 
 WINDOW = 35
 ROUNDS = 5
@@ -131,9 +131,9 @@ def _table(table: pa.Table, column: str) -> pa.Array:
     return pa.concat_arrays(col.chunks) if col.num_chunks != 1 else col.chunk(0)
 
 
-def _symbol_rows(width: int) -> Callable[[pa.Table], pa.Table]:
+def _symbol_rows(width: int, key: int) -> Callable[[pa.Table], pa.Table]:
     def run(docs: pa.Table) -> pa.Table:
-        words = split_words(_table(docs, "text"), lower=False)
+        words = split_words(_table(docs, "text"), lower=False, key=key)
         sym, low, high = symbols(words)
         sym = np.unique(sym[high - low <= width])
         return pa.table({"symbol": sym.view(np.int64), "bucket": np.full(len(sym), docs.column("bucket")[0].as_py(), np.int32)})
@@ -141,11 +141,11 @@ def _symbol_rows(width: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _window_rows(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _window_rows(width: int, key: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return pa.table({"window": np.zeros(0, np.int64), "bucket": np.zeros(0, np.int32)})
-        words = split_words(_table(docs, "text"), lower=False)
+        words = split_words(_table(docs, "text"), lower=False, key=key)
         start, value = windows(words, width)
         at = np.searchsorted(start, _candidates(words, width, known.column("symbol").to_numpy()))
         out = np.unique(value[at])
@@ -173,14 +173,17 @@ def _without(words: Words, gone: np.ndarray) -> tuple[pa.Array, np.ndarray, np.n
     np.add.at(lengths, words.doc[kept], words.end[kept] - words.start[kept])
     np.add.at(lengths, words.doc[kept[follows]], 1)
     assert total[-1] == lengths.sum()
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    if offsets[-1] > np.iinfo(np.int32).max:
+        raise ValueError("the kept texts of one bucket exceed 2 GB")
+    offsets = offsets.astype(np.int32)
     text = pa.StringArray.from_buffers(words.n, pa.py_buffer(offsets), pa.py_buffer(data[stay[:-1]].tobytes()))
     return text, n, removed
 
 
-def _kept_rows(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _kept_rows(width: int, key: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        words = split_words(_table(docs, "text"), lower=False)
+        words = split_words(_table(docs, "text"), lower=False, key=key)
         start, value = windows(words, width)
         again = np.isin(value.view(np.int64), known.column("window").to_numpy()) | _often(value)
         text, n, removed = _without(words, _marked(start[again], start[again] + width, len(words.hash)))
@@ -252,9 +255,10 @@ def _small(heavy: DataFrame) -> DataFrame:
 
 def _compared(rows: DataFrame, buckets: int, width: int, schema: T.StructType) -> DataFrame:
     """The rows (copy, text, rest) without repeated passages, dealt to buckets by ``copy``."""
+    key = drawn_key()
     rows = rows.select(F.pmod("copy", F.lit(buckets)).cast("int").alias("bucket"), "text", "rest")
-    symbol_rows = rows.groupBy("bucket").applyInArrow(_symbol_rows(width), "symbol long, bucket int")
+    symbol_rows = rows.groupBy("bucket").applyInArrow(_symbol_rows(width, key), "symbol long, bucket int")
     known = members_of_repeated(symbol_rows, "symbol", "bucket")
-    window_rows = rows.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_window_rows(width), "window long, bucket int")
+    window_rows = rows.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_window_rows(width, key), "window long, bucket int")
     again = members_of_repeated(window_rows, "window", "bucket")
-    return rows.groupBy("bucket").cogroup(again.groupBy("bucket")).applyInArrow(_kept_rows(width), schema)
+    return rows.groupBy("bucket").cogroup(again.groupBy("bucket")).applyInArrow(_kept_rows(width, key), schema)

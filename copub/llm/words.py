@@ -1,12 +1,15 @@
 """Words of Arrow text columns as numpy arrays.
 
 A whole batch of texts is handled with a few array passes over its UTF-8
-bytes: no Python loop over words, and no copy of the text.  Word hashes are
-polynomials over the bytes modulo 2**64, finished with a 64-bit mixer.
+bytes: no Python loop over words, and no copy of the text.  A word's hash is the sum of
+its eight-byte pieces, each sent through a 64-bit mixer together with its place and a key, mixed
+once more with the length: no polynomial, so no pattern of letters makes words collide, and a
+key drawn anew (``drawn_key``) leaves nothing to craft words against.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,6 +58,30 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def drawn_key() -> int:
+    """A key for one run's hashes; it travels with the functions, so a repeated task hashes alike."""
+    return secrets.randbits(63)
+
+
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: int = 0) -> np.ndarray:
+    """A hash of each span of bytes [start, end), none of them empty."""
+    if not len(start):
+        return np.zeros(0, U)
+    size = end - start
+    pieces = (size + 7) >> 3
+    first = np.cumsum(pieces) - pieces
+    of = np.repeat(np.arange(len(start)), pieces)
+    at = 8 * (np.arange(len(of)) - first[of])
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from every byte on
+    value = eight[start[of] + at] & _LOW_BYTES[np.minimum(size[of] - at, 8)]
+    total = np.add.reduceat(mix(value + mix(at.astype(U) + U(key), 11), 12), first)
+    return mix(total + mix(size.astype(U) ^ U(key), 13), 14)
+
+
 @dataclass
 class Words:
     """The words of n texts: byte spans, the text each lies in, and hashes."""
@@ -82,10 +109,11 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(col: pa.Array, lower: bool, marks: bool = False) -> Words:
+def split_words(col: pa.Array, lower: bool, marks: bool = False, key: int = 0) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text; ``lower`` maps A-Z to a-z first.
 
-    With ``marks`` words are cut at every ASCII character but letters and digits.
+    With ``marks`` words are cut at every ASCII character but letters and digits.  ``key`` is
+    that of the hashes.
     """
     data, offsets = text_buffers(col)
     if lower:
@@ -102,10 +130,7 @@ def split_words(col: pa.Array, lower: bool, marks: bool = False) -> Words:
     last = offsets[1:]
     ends[last[last > 0]] |= inside[last[last > 0] - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends)
-    powers, inverses = _tables(size + 1)
-    sums = np.zeros(size + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * powers[:size], out=sums[1:])
-    value = mix((sums[end] - sums[start]) * inverses[start])
+    value = word_hashes(data, start, end, key)
     first = np.searchsorted(start, offsets).astype(np.int64)
     doc = np.repeat(np.arange(n), np.diff(first))
     return Words(n, data, start, end, doc, value, first)

@@ -6,10 +6,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from copub.llm import bpe, decontaminate, fm_quality, kd_shards, partenum, queries, recompression, rpforest, token_counts, toxicity, url_filter
+from copub.llm.labels import labelled_sample
+from copub.llm.words import drawn_key, split_words
 
 SF = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -104,6 +107,53 @@ def test_texts_that_share_a_passage_but_are_no_copies(spark, block, monkeypatch)
     assert Counter(map(tuple, got.collect())) == brute_components(rows)
 
 
+def thue_morse(letters, rounds=10):
+    """A word of 2 ** rounds letters, and the word with the letters exchanged."""
+    word = [0]
+    for _ in range(rounds):
+        word += [1 - x for x in word]
+    return ["".join(letters[x ^ swap] for x in word) for swap in (0, 1)]
+
+
+@pytest.mark.parametrize("rounds", [3, 10, 12])
+def test_words_that_collide_under_polynomials_differ(spark, rounds):
+    one, other = thue_morse("ab", rounds)
+    rows = [(1, one), (2, other), (3, one), (4, f"{one} {other}"), (5, f"{other} {one}")]
+    got = partenum.link(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == brute_components(rows)
+    shared = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*shared[:20], word, *shared[20:]])) for i, word in enumerate((one, other))]
+    got = recompression.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, got.select("rest.doc_id", "n_words", "n_removed", "kept_text").collect())) == brute_repeats(rows)
+
+
+def test_word_hashes_tell_spans_apart():
+    words = ["a", "b", "ab", "ba", "a" * 8, "a" * 9, "a" * 16, "a" * 17, "abcdefgh" * 2, "abcdefgh" + "bacdefgh", "bacdefgh" + "abcdefgh", "é", "x" * 7, "x" * 8]
+    for key in (0, 1, drawn_key()):
+        cut = split_words(pa.array([" ".join(words * 2)]), lower=False, key=key)
+        assert len(set(cut.hash.tolist())) == len(words) and (cut.hash[: len(words)] == cut.hash[len(words) :]).all()
+        apart = split_words(pa.array([None, "", *words]), lower=False, key=key)
+        assert (apart.hash == cut.hash[: len(words)]).all()
+
+
+def test_sets_that_share_a_hash_are_hashed_anew(spark, monkeypatch):
+    keys, drawn = iter([1, 2]), []
+    monkeypatch.setattr(partenum, "drawn_key", lambda: drawn.append(next(keys)) or drawn[-1])
+    whole = partenum.set_keys
+
+    def poor(docs, values, n_docs, key=None):
+        first, second = whole(docs, values, n_docs)
+        return first % 2 if poor.bad else first, second
+
+    poor.bad = True
+    monkeypatch.setattr(partenum, "set_keys", poor)
+    drop = partenum.tables.drop
+    monkeypatch.setattr(partenum.tables, "drop", lambda df: setattr(poor, "bad", False) or drop(df))
+    rows = [(i, f"text number {i} of many") for i in range(20)]
+    got = partenum.link(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == brute_components(rows) and drawn == [1, 2]
+
+
 def brute_repeats(texts, width=35):
     cut = [(i, WORD.findall(t or "")) for i, t in texts]
     seen = Counter(tuple(w[j : j + width]) for _, w in cut for j in range(len(w) - width + 1))
@@ -140,8 +190,8 @@ def test_repeats_of_equal_rows_that_fill_buckets(spark, monkeypatch):
     largest = spark.sparkContext.accumulator(0)
     kept_rows = recompression._kept_rows
 
-    def counted(width):
-        run = kept_rows(width)
+    def counted(*args):
+        run = kept_rows(*args)
 
         def with_count(docs, known):
             if docs.num_rows > 30:
@@ -213,6 +263,26 @@ def test_shards(spark, docs, empty, texts):
     assert by_target == (sum(sizes) - 1) // 40_000
 
 
+def test_shards_of_repeated_rows(spark):
+    rows = [(None, "the same text", "en", "s", 1)] * 2000 + [(i, f"text {i}", "en", "s", 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = kd_shards.shard(df, shards=4).collect()
+    size = Counter()
+    for r in got:
+        size[r["shard"]] += r["size"]
+    assert len(got) == 4000 and max(size.values()) - min(size.values()) < 100
+    for shard in range(4):
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
+
+
+def test_labelled_sample_bounds_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, None), (3, "c"), (3, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, quality int")
+    got = sorted((r.doc_id, r.text, r.label) for r in labelled_sample(docs, labels, "quality", 1, 1, 10).collect())
+    assert got == [(1, "text 0", 1), (2, None, 0), (3, "b", 1)]
+    assert labelled_sample(docs, labels, "quality", 1, 1, 2).count() <= 2
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, " ".join(f"W{i}" for i in range(5, 25))), (2, "only here"), (3, ""), (4, None), (2, "only here")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
