@@ -107,8 +107,8 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None =
 
     Give either the bytes a leaf should hold or the number of leaves.  ``size`` is the UTF-8
     bytes of the text (null: none) plus 16.  Dimensions: the ``metadata`` columns (numbers by
-    log2 of their size, others by a hash, nulls lowest) and the size.  Equal rows differ by nothing
-    but their doc_id's and text's hash; fully equal rows share a leaf.  ``slot`` counts a
+    log2 of their size, others by a hash, nulls lowest) and the size.  Rows that are equal
+    in all of these, repeated rows too, are told apart by a hash with the row's number.  ``slot`` counts a
     shard's rows from 0 without gaps.  An empty table gives no rows.  Columns not named are ignored.
     """
     if (target_bytes is None) == (shards is None):
@@ -125,7 +125,8 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None =
 
     size = F.coalesce(F.octet_length(text).cast("long"), F.lit(0)) + 16
     values = [*(scaled(m) for m in metadata), F.log2(size.cast("double")) / 64 * (2**VALUE_BITS - 1)]
-    tie = F.pmod(F.xxhash64("doc_id", text), F.lit(2**TIE_BITS))
+    # written below, once, so that a row's number stays
+    tie = F.pmod(F.xxhash64("doc_id", text, F.monotonically_increasing_id()), F.lit(2**TIE_BITS))
     rows = docs.select("doc_id", size.alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), tie.alias("tie"), *(v.cast("long").alias(f"v{i}") for i, v in enumerate(values)))
     keys = [(F.shiftleft(f"v{i}", TIE_BITS) + F.col("tie")).alias(f"k{i}") for i in range(len(values))]
     rows = tables.written(rows.select("doc_id", "size", "text_crc32", "tie", *keys), "kd-rows")
