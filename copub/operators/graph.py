@@ -17,10 +17,9 @@ Input shapes:
 
 Scale notes.  The edges of a paper with k authors are its k(k-1) ordered
 pairs; they are the output, so they must be produced, but never all in one
-task: papers are paired by a self-join on (paper, cell), where a paper with
+task: light papers are paired by a self-join on the paper, and a paper with
 more than ``BLOCK_AUTHORS`` authors is cut into blocks whose cells spread its
-pairs over many tasks (input and output skew alike); the sizes of the
-oversized papers reach the rows through a bounded broadcast.  In the array
+pairs over many tasks, however many such papers there are.  In the array
 form, short lists pair inside their scan task and long ones take the blocked
 join.  Every aggregation below is partial + final (map-side combine), so a
 hot key (one year, one author) never lands whole in one task.
@@ -34,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from copub.functions.columns import ratio
+from copub.session import delete_path, scratch_path
 
 # Chart titles of the metric series (fixed values of the report).
 METRIC_TITLES = {
@@ -59,77 +59,58 @@ def authorship_rows(authorship: DataFrame) -> DataFrame:
 
 # Papers with more authors than this are paired block by block.
 BLOCK_AUTHORS = 2048
-# Oversized papers whose size is broadcast to tag their rows (largest first;
-# 24 bytes each -> at most a few MB).  Papers beyond it keep one cell.
-BIG_BASKETS_MAX = 100_000
-
-
-def _block_cells(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
-    """Rows of ``keys + author_id`` -> rows tagged with pairing cells.
-
-    A basket (paper) of n authors gets s = ceil(n / block_authors) blocks;
-    author u in block b takes part in cells (b, j) as left side and (j, b) as
-    right side, j = 0..s-1 (one row, both sides, on the diagonal); ``role``
-    holds the sides as bits (1 left, 2 right).  The ordered pair (u, v) then
-    meets in exactly one cell, (block(u), block(v)), and each cell holds
-    about ``block_authors`` authors per side.  For s = 1
-    this is one row per author, cell 0.  The replication (2s - 1 rows per
-    author) is about n / block_authors, small next to the n^2 pairs.
+
+
+def _sized(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
+    """Rows of ``keys + author_id`` with ``_s``: the blocks of a heavy paper, NULL for a light one.
+
+    Sizes are a partial aggregation and their join is left to Spark: few heavy papers are
+    broadcast at run time, many are merged by key, and the rows of one very hot paper are split
+    by the skew join.  There is no bound on the number of heavy papers.
     """
-    # Size of each basket (partial aggregation).  The oversized ones, at most
-    # BIG_BASKETS_MAX of them (largest first: a proven bound, a few MB), are
-    # broadcast, so every row is tagged where it is read: no shuffle of the
-    # rows and no task holding a hot basket.  A basket beyond that bound keeps
-    # one cell: its pairs are still exact, just not split.
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = (
-        sizes.where(F.col("_n") > F.lit(int(block_authors)))
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(BIG_BASKETS_MAX)
-    )
-    tagged = rows.join(F.broadcast(big), keys, "left")
-    s = F.when(F.col("_n").isNull(), F.lit(1)).otherwise(F.ceil(F.col("_n") / F.lit(int(block_authors)))).cast("int")
-    tagged = tagged.select(*keys, "author_id", s.alias("_s")).withColumn(
-        "_b", F.pmod(F.xxhash64("author_id"), F.col("_s")).cast("int")
-    )
-    # role bits: 1 = left side, 2 = right side, 3 = both (diagonal cell)
-    js = F.sequence(F.lit(0), F.col("_s") - 1)
-    # cell ids in bigint arithmetic: s * s may exceed the int range
-    s_, b = F.col("_s").cast("bigint"), F.col("_b").cast("bigint")
-    as_left = F.transform(js, lambda j: F.struct(
-        (b * s_ + j).alias("cell"), F.when(j == b, 3).otherwise(1).alias("role")))
-    as_right = F.transform(F.filter(js, lambda j: j != b), lambda j: F.struct(
-        (j * s_ + b).alias("cell"), F.lit(2).alias("role")))
-    one_cell = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(3).alias("role")))
-    cells = F.when(s_ == 1, one_cell).otherwise(F.concat(as_left, as_right))
-    return tagged.select(*keys, "author_id", F.explode(cells).alias("c")).select(
-        *keys, "author_id", "c.cell", "c.role"
-    )
+    block = F.lit(int(block_authors))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+    return rows.join(sizes.select(*keys, F.ceil(F.col("_n") / block).cast("int").alias("_s")), keys, "left")
+
+
+def _heavy_pairs(heavy: DataFrame, keys: list[str]) -> DataFrame:
+    """Ordered pairs of the heavy papers' authors, cell by cell.
+
+    A paper of s blocks has s x s cells.  An author of block b is a left author in the cells
+    (b, 0..s-1) and a right author in the cells (0..s-1, b): the ordered pair (u, v) meets in the one
+    cell (block(u), block(v)), and a cell holds about ``block_authors`` authors on either side.
+    The two sides are tables of their own, so no row is looked at in a role it does not have.
+    """
+    mine = F.pmod(F.xxhash64("author_id"), F.col("_s")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
+    left = heavy.select(*keys, F.col("author_id").alias("src"), mine.alias("_i"), others.alias("_j"))
+    right = heavy.select(*keys, F.col("author_id").alias("dst"), mine.alias("_j"), others.alias("_i"))
+    # dealt by cell even if one side is broadcast: the pairs come from the other side's tasks
+    cell = [*keys, "_i", "_j"]
+    return left.repartition(*cell).join(right.repartition(*cell), cell).where("src <> dst").select(*keys, "src", "dst")
 
 
 def _pairs(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
-    cells = _block_cells(rows, keys, block_authors).repartition(*keys, "cell")
-    a, b = cells.alias("a"), cells.alias("b")
-    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys + ["cell"]]
+    sized = _sized(rows, keys, block_authors)
+    light = sized.where(F.col("_s").isNull()).select(*keys, "author_id")
+    # both sides are one subtree, already partitioned by the paper: one shuffle, read twice
+    a, b = light.alias("a"), light.alias("b")
+    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     cond.append(F.col("a.author_id") != F.col("b.author_id"))
-    # left role on a, right role on b, as one two-sided test over the same
-    # column: nothing one-sided is pushed into either input, so both sides
-    # stay the same plan and share one exchange
-    cond.append((F.col("a.role").bitwiseAND(F.lit(1)) * F.col("b.role").bitwiseAND(F.lit(2))) == F.lit(2))
-    j = a.join(b, reduce(lambda x, y: x & y, cond), "inner")
-    return j.select(*[F.col(f"a.{k}").alias(k) for k in keys],
-                    F.col("a.author_id").alias("src"), F.col("b.author_id").alias("dst"))
+    met = a.join(b, reduce(lambda x, y: x & y, cond), "inner").select(
+        *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.author_id").alias("src"), F.col("b.author_id").alias("dst")
+    )
+    return met.unionByName(_heavy_pairs(sized.where(F.col("_s").isNotNull()), keys))
 
 
 def coauthor_pairs(authorship: DataFrame, block_authors: int = BLOCK_AUTHORS) -> DataFrame:
     """Ordered co-author pairs ``(year, src, dst)``, one row per shared paper.
 
-    Equi-join of the authorship table with itself on the paper (and its
-    pairing cell, see ``_block_cells``); both sides are the same subtree, so
-    the shuffle is written once and read by both.  A paper with more than
-    ``block_authors`` authors is paired by many tasks (output skew: its k^2
-    pairs never land in one task), and the size count that decides it is a
-    partial aggregation.  A (paper, author) row given twice pairs twice, as
+    Equi-join of the authorship table with itself on the paper; both sides
+    are the same subtree, so the shuffle is written once and read by both.
+    A paper with more than ``block_authors`` authors is paired by many tasks
+    (see ``_heavy_pairs``: its k^2 pairs never land in one task), and the size
+    count that decides it is a partial aggregation.  A (paper, author) row given twice pairs twice, as
     an id listed twice in one author list does.
     """
     pairs = _pairs(authorship_rows(authorship), ["paper_id", "year"], block_authors)
@@ -186,19 +167,60 @@ def papers_in_year(df: DataFrame, year: int) -> DataFrame:
     return df.where(F.col("year") == F.lit(int(year)))
 
 
-def limit_papers(authorship: DataFrame, year: int, limit: int = 0) -> DataFrame:
+# Up to this limit the first ids are one task's top-N; beyond it they are found by counting.
+TOP_N_IDS = 100_000
+SELECT_BITS = 12  # a round of counting tells this many bits of the id apart
+
+
+def nth_id(ids: DataFrame, n: int) -> int | None:
+    """The ``n``-th smallest (from 1) of the distinct ids in the one column of ``ids``; None if there are fewer.
+
+    Selection by counting: each round counts the ids by their next ``SELECT_BITS`` leading bits (at
+    most 4096 rows come to the driver) and goes on in the range that holds the n-th.  No ids are
+    sorted or gathered.  The distinct ids are written once, so a round reads eight bytes an id.
+    """
+    spark, name = ids.sparkSession, ids.columns[0]
+    path = scratch_path(spark, "ids")
+    ids.select(F.col(name).cast("bigint").alias("id")).where("id is not null").distinct().write.parquet(path)
+    left = spark.read.schema("id bigint").parquet(path)
+    whole = left.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    if n < 1 or whole["n"] < n:
+        delete_path(spark, path)
+        return None
+    lo, hi = whole["lo"], whole["hi"]
+    shift = 64 if (lo < 0) != (hi < 0) else (lo ^ hi).bit_length()  # low bits in which the ids differ
+    found = lo
+    while shift:
+        shift = max(0, shift - SELECT_BITS)
+        counts = left.groupBy(F.shiftright("id", shift).alias("bits")).agg(F.count(F.lit(1)).alias("n"))
+        for row in counts.orderBy("bits").collect():
+            if n <= row["n"]:
+                break
+            n -= row["n"]
+        found = row["bits"] << shift
+        left = left.where(F.col("id").between(found, found + (1 << shift) - 1))
+    delete_path(spark, path)
+    return found
+
+
+def limit_papers(rows: DataFrame, year: int, limit: int = 0) -> DataFrame:
     """The year's slice restricted to its first ``limit`` papers by id.
 
-    ``limit=0`` keeps every paper of the year.  Only the paper ids go through
-    the top-N.
+    ``rows`` is an authorship table or a paper table (the array form).  ``limit=0`` keeps
+    every row of the year, any other limit leaves rows without id out.  Up to ``TOP_N_IDS`` the ids go through a top-N; a larger limit
+    becomes a filter ``paper_id <= N-th id`` (``nth_id``, which runs jobs), which reaches the scan.
     """
-    year_rows = papers_in_year(authorship, year)
+    year_rows = papers_in_year(rows, year)
     if not limit:
         return year_rows
     if limit < 0:
         raise ValueError("limit must be >= 0")
-    ids = year_rows.select("paper_id").distinct().orderBy("paper_id").limit(int(limit))
-    return year_rows.join(ids, "paper_id", "left_semi")
+    ids = year_rows.select("paper_id").where("paper_id is not null").distinct()
+    if limit > TOP_N_IDS:
+        last = nth_id(ids, int(limit))
+        # fewer papers than the limit: all of them
+        return year_rows.where(F.col("paper_id").isNotNull() if last is None else F.col("paper_id") <= F.lit(last))
+    return year_rows.join(ids.orderBy("paper_id").limit(int(limit)), "paper_id", "left_semi")
 
 
 def edges_limited(authorship: DataFrame, year: int, limit: int = 0) -> DataFrame:

@@ -46,3 +46,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the checkpoint root for one write."""
     return f"{checkpoint_root(spark)}/copub/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path as its object."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours, in whatever store it lies; a missing one is no error."""
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)

@@ -1,0 +1,75 @@
+"""First papers by id: a top-N, or selection by counting; filters without jobs; awkward count tables."""
+
+import random
+
+import pytest
+
+from copub.operators import ego, graph
+
+
+@pytest.mark.parametrize("ids", [
+    list(range(1000)), [5], [-3, -3, 7, 7, 2**62, -(2**62)], [2**63 - 1, -(2**63), 0, None], [10**12 + i * 7 for i in range(500)], [-i for i in range(1, 400)],
+])
+def test_nth_id(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "paper_id bigint").repartition(3)
+    distinct = sorted({i for i in ids if i is not None})
+    for n in {1, 2, len(distinct) // 2 + 1, len(distinct)}:
+        if n <= len(distinct):
+            assert graph.nth_id(df, n) == distinct[n - 1]
+    assert graph.nth_id(df, len(distinct) + 1) is None
+    assert graph.nth_id(df.where("false"), 1) is None
+
+
+def test_both_ways_of_limiting_agree(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(rng.randint(-50, 50), rng.choice([2000, 2001, None]), a) for a in range(400)] + [(None, 2000, 1)]
+    rows = spark.createDataFrame(rows, "paper_id bigint, year int, author_id bigint")
+    for n in (1, 7, 40, 10_000):
+        want = sorted(map(tuple, graph.limit_papers(rows, 2000, n).collect()))
+        monkeypatch.setattr(graph, "TOP_N_IDS", 0)
+        counted = graph.limit_papers(rows, 2000, n)
+        monkeypatch.undo()
+        assert sorted(map(tuple, counted.collect())) == want
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "Join" not in plan
+
+
+def test_limit_of_the_array_form(spark):
+    papers = spark.createDataFrame([(3, 2000, [1, 2]), (1, 2000, [2, 3]), (2, 2000, [3, 4]), (0, 2001, [1, 9])], "paper_id bigint, year int, authors array<bigint>")
+    pairs = graph.coauthor_pairs_from_papers(graph.limit_papers(papers, 2000, 2))
+    assert sorted(map(tuple, pairs.collect())) == [(2000, 2, 3), (2000, 3, 2), (2000, 3, 4), (2000, 4, 3)]
+
+
+def jobs_of(spark, build):
+    """The jobs that ``build`` starts, and what it returns."""
+    spark.sparkContext.setJobGroup("building", "counts jobs")
+    try:
+        out = build()
+        return list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")), out
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+
+
+def test_keep_papers_starts_no_job(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "paper_id bigint, x string")
+    ids = spark.createDataFrame([(2,), (2,), (None,), (9,)], "id bigint").repartition(2)
+    jobs, kept = jobs_of(spark, lambda: ego.keep_papers(rows, ids))
+    assert jobs == []
+    assert sorted(map(tuple, kept.collect())) == [(2, "b"), (2, "d")]
+    jobs, everything = jobs_of(spark, lambda: ego.keep_papers(rows, ids.where("false")))
+    assert jobs == [] and everything.count() == 4
+    assert ego.keep_papers(rows, []).count() == 4 and ego.keep_papers(rows, [1, 1]).count() == 1
+    only_null = spark.createDataFrame([(None,)], "id bigint")
+    assert ego.keep_papers(rows, only_null).count() == 0  # a list, if of no use
+
+
+def test_zero_filled_takes_null_years_and_repeated_rows(spark):
+    counts = [(1, 2000, 5, 2), (1, 2000, 5, 3), (1, None, 6, 1), (1, None, 6, 1), (1, 2001, 6, 4), (2, None, 1, 1)]
+    got = ego.zero_filled(spark.createDataFrame(counts, "author_id bigint, year int, collab_id bigint, n bigint"))
+    want = {}
+    for author in {r[0] for r in counts}:
+        for year in {r[1] for r in counts if r[0] == author}:
+            for other in {r[2] for r in counts if r[0] == author}:
+                want[author, year, other] = sum(r[3] for r in counts if r[:3] == (author, year, other))
+    rows = [tuple(r) for r in got.collect()]
+    assert {r[:3]: r[3] for r in rows} == want and len(rows) == len(want)

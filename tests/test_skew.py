@@ -66,21 +66,26 @@ def test_hot_paper_pairs_spread_over_tasks(spark):
     assert max(r["count"] for r in per_task) < total / 2
 
 
-def test_hot_paper_rows_are_tagged_by_many_tasks(spark):
+def test_very_many_heavy_papers_are_all_cut(spark):
     from pyspark.sql import functions as F
 
-    # one paper with most of the input rows
-    hot = [(1, 2000, x) for x in range(1, 3001)]
-    few = [(10 + p, 2000, 5000 + p) for p in range(200)]
-    a = spark.createDataFrame(hot + few, "paper_id bigint, year int, author_id bigint")
-    cells = graph._block_cells(graph.authorship_rows(a), ["paper_id", "year"], 1000)
-    with conf(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false",
-                        "spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        tasks = cells.where("paper_id = 1").select(F.spark_partition_id().alias("t")).distinct().count()
-        n = cells.count()
-    # 3000 authors, s = 3: 5 rows each; the 200 small papers: 1 row each
-    assert n == 3000 * 5 + 200
-    assert tasks >= 4
+    # 300 papers of 12 authors and one of 3000, blocks of 5: every heavy paper is split, none is left whole
+    hot = [(1, 2000, x) for x in range(3000)]
+    many = [(10 + p, 2000, p % 7 + 10 * j) for p in range(300) for j in range(12)]
+    few = [(5000 + p, 2000, p + j) for p in range(100) for j in range(3)]
+    a = spark.createDataFrame(hot + many + few, "paper_id bigint, year int, author_id bigint")
+    rows = graph.authorship_rows(a)
+    sized = graph._sized(rows, ["paper_id", "year"], 5)
+    cut = {r.paper_id: r["_s"] for r in sized.select("paper_id", "_s").distinct().collect()}
+    assert cut == {1: 600} | {10 + p: 3 for p in range(300)} | {5000 + p: None for p in range(100)}
+    with conf(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        pairs = graph._pairs(rows, ["paper_id", "year"], 250)
+        per_task = pairs.where("paper_id = 1").groupBy(F.spark_partition_id().alias("t")).count().collect()
+    total = sum(r["count"] for r in per_task)
+    assert total == 3000 * 2999
+    assert len(per_task) >= 8 and max(r["count"] for r in per_task) < total / 4
+    got = graph._pairs(rows.where("paper_id <> 1"), ["paper_id", "year"], 5)
+    assert got.count() == 300 * 12 * 11 + 100 * 3 * 2 and got.distinct().count() == got.count()
 
 
 def test_hot_author_period_metrics_exact(spark):
