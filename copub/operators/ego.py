@@ -51,19 +51,19 @@ def year_papers(paper_rows: DataFrame) -> DataFrame:
 def zero_filled(counts: DataFrame) -> DataFrame:
     """Every active year of an author lists every collaborator of the author.
 
-    Active year = a year with at least one collaborator.  Output is
-    years x collaborators per author; missing counts are 0.
+    Active year = a year with at least one collaborator; a NULL year is one
+    like any other.  Output is years x collaborators per author; missing
+    counts are 0, and the counts of repeated rows add up.
     """
-    # An author's years are few, so a pair's counts by year are a short map and the
-    # author's years a short list; collaborators stay rows, which AQE can split.
-    entry = F.struct("year", F.col("n").cast("bigint").alias("n"))
-    pairs = counts.groupBy("author_id", "collab_id").agg(F.map_from_entries(F.collect_list(entry)).alias("by_year"))
-    years = counts.groupBy("author_id").agg(F.collect_set("year").alias("years"))
-    grid = pairs.join(years, "author_id").select("author_id", "collab_id", "by_year", F.explode("years").alias("year"))
-    return grid.select(
-        "author_id", "year", "collab_id",
-        F.coalesce(F.try_element_at("by_year", F.col("year")), F.lit(0)).cast("bigint").alias("n"),
-    )
+    # An author's years are few, so a pair's counts by year and the author's years are short
+    # lists; collaborators stay rows, which AQE can split.  Counts of repeated rows add up first, and
+    # a year may be NULL (unreadable in the file): lists of structs take both, a map neither.
+    entry = F.struct("year", F.col("n").alias("n"))
+    pairs = collab_counts(counts).groupBy("author_id", "collab_id").agg(F.collect_list(entry).alias("by_year"))
+    years = counts.groupBy("author_id").agg(F.collect_set(F.struct("year")).alias("years"))
+    grid = pairs.join(years, "author_id").select("author_id", "collab_id", "by_year", F.explode("years").alias("y"))
+    here = F.filter("by_year", lambda e: e["year"].eqNullSafe(F.col("y.year")))
+    return grid.select("author_id", F.col("y.year").alias("year"), "collab_id", F.coalesce(F.get(here, 0)["n"], F.lit(0)).cast("bigint").alias("n"))
 
 
 def totals(links: DataFrame, paper_rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
@@ -104,19 +104,20 @@ def merge_counts(*counts: DataFrame) -> DataFrame:
 def keep_papers(df: DataFrame, ids) -> DataFrame:
     """Rows whose ``paper_id`` is in ``ids``; ``None`` or an empty list keeps all.
 
-    ``ids`` is a DataFrame with an ``id`` column or a Python list; the semi
-    join is planned by Spark (broadcast only when AQE sees a small side).
+    ``ids`` is a DataFrame with an ``id`` column or a Python list.  No job runs here: whether
+    a DataFrame of ids is empty is a scalar subquery of the plan, and the join is left
+    to Spark (broadcast only when AQE sees a small side).
     """
     if ids is None:
         return df
     if isinstance(ids, (list, tuple, set)):
         if not ids:
             return df
-        spark = df.sparkSession
-        ids = spark.createDataFrame([(int(i),) for i in ids], "id bigint")
-    elif ids.isEmpty():
-        return df
-    return df.join(ids.select(F.col("id").alias("paper_id")).distinct(), "paper_id", "left_semi")
+        ids = df.sparkSession.createDataFrame([(int(i),) for i in ids], "id bigint")
+        return df.join(ids.select(F.col("id").alias("paper_id")).distinct(), "paper_id", "left_semi")
+    some = ids.select(F.lit(1).alias("one")).limit(1).agg(F.count("one")).scalar()
+    wanted = ids.select(F.col("id").alias("paper_id"), F.lit(True).alias("_wanted")).where("paper_id is not null").distinct()
+    return df.join(wanted, "paper_id", "left").where(F.col("_wanted").isNotNull() | (some == 0)).select(*df.columns)
 
 
 # --------------------------------------------------------------------------

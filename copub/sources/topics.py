@@ -29,8 +29,11 @@ def read_topic_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_topic_ids(ids: DataFrame, path: str, rows_per_file: int = 100_000, mode: str = "errorifexists") -> None:
-    """Write ``(id)`` rows as keyed JSON objects, at most ``rows_per_file`` per file."""
-    ids = ids.distinct()  # an id is one key of an object
+    """Write ``(id)`` rows as keyed JSON objects, about ``rows_per_file`` per file.
+
+    An id is a key, so a repeated one is written once; NULL ids are no ids and are left out.
+    """
+    ids = ids.select(F.col("id").cast("bigint").alias("id")).where("id is not null").distinct()
     n = ids.count()
     files = max(1, math.ceil(n / max(1, rows_per_file)))
     entries = ids.select(
