@@ -203,11 +203,11 @@ def nth_id(ids: DataFrame, n: int) -> int | None:
     return found
 
 
-def limit_papers(rows: DataFrame, year: int, limit: int = 0) -> DataFrame:
+def limit_papers(rows: DataFrame, year: int, limit: int = 0, top_n: int | None = None) -> DataFrame:
     """The year's slice restricted to its first ``limit`` papers by id.
 
     ``rows`` is an authorship table or a paper table (the array form).  ``limit=0`` keeps
-    every row of the year, any other limit leaves rows without id out.  Up to ``TOP_N_IDS`` the ids go through a top-N; a larger limit
+    every row of the year, any other limit leaves rows without id out.  Up to ``top_n`` (``TOP_N_IDS``) the ids go through a top-N; a larger limit
     becomes a filter ``paper_id <= N-th id`` (``nth_id``, which runs jobs), which reaches the scan.
     """
     year_rows = papers_in_year(rows, year)
@@ -216,7 +216,7 @@ def limit_papers(rows: DataFrame, year: int, limit: int = 0) -> DataFrame:
     if limit < 0:
         raise ValueError("limit must be >= 0")
     ids = year_rows.select("paper_id").where("paper_id is not null").distinct()
-    if limit > TOP_N_IDS:
+    if limit > (TOP_N_IDS if top_n is None else top_n):
         last = nth_id(ids, int(limit))
         # fewer papers than the limit: all of them
         return year_rows.where(F.col("paper_id").isNotNull() if last is None else F.col("paper_id") <= F.lit(last))
@@ -241,6 +241,16 @@ def degrees(edge_df: DataFrame) -> DataFrame:
     )
 
 
+def vertex_degrees(vertex_df: DataFrame, edge_df: DataFrame) -> DataFrame:
+    """``(year, id, degree)`` of every vertex, 0 without edges.
+
+    Edges are stored in both directions, so as many come in as go out, and degrees are
+    counted at one end only.  From a bucketed store neither the count nor the join shuffles.
+    """
+    out = edge_df.groupBy("year", F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return vertex_df.join(out, ["year", "id"], "left").select("year", "id", (2 * F.coalesce("n", F.lit(0))).alias("degree"))
+
+
 def metrics(vertex_df: DataFrame, edge_df: DataFrame) -> DataFrame:
     """Per year: vertex count, edge count, average degree, density.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from copub.functions.columns import clean_id, year_from_text
+from copub.sources.quarantine import ASIDE, checked, write_counted
 
 CSV_TEXT_SCHEMA = "id_paper string, year string, doi string, authors string"
 
@@ -41,6 +42,42 @@ def read_papers_csv(spark: SparkSession, path: str | list[str], with_order: bool
     return raw.select(*cols)
 
 
+KINDS = ["line", "paper id", "year", "authors"]
+TYPED_SCHEMA = "paper_id bigint, year int, doi string, authors array<bigint>, defects array<string>, line string, slot int"
+
+
+def ingest_papers_csv(spark: SparkSession, csv: str | list[str], path: str) -> dict[str, int]:
+    """Parse a papers CSV once into typed Parquet under ``path``; returns the counts of the pass.
+
+    A row without a readable id lies aside only; one whose year or author list cannot be read, or whose
+    number of cells is wrong, is kept with NULL or an empty list and lies aside too.
+    """
+    raw = spark.read.schema(CSV_TEXT_SCHEMA + ", _corrupt string").option("header", True).option("escape", '"')
+    raw = raw.option("columnNameOfCorruptRecord", "_corrupt").csv(csv)
+    ids = F.from_json(F.col("authors"), T.ArrayType(T.LongType()))
+    rows = raw.select(
+        clean_id("id_paper").alias("paper_id"), year_from_text("year").alias("year"), "doi",
+        F.coalesce(ids, F.array().cast("array<bigint>")).alias("authors"), ids.isNull().alias("_unread"), "_corrupt",
+        F.coalesce("_corrupt", F.to_csv(F.struct("id_paper", "year", "doi", F.col("authors").alias("authors")), {"escape": '"'})).alias("_text"),
+    )
+    defects = {
+        "line": F.col("_corrupt").isNotNull(), "paper id": F.col("paper_id").isNull(), "year": F.col("year").isNull(),
+        "authors": F.col("_unread") | F.exists("authors", lambda a: a.isNull()),
+    }
+    dealt = checked(rows, F.col("paper_id").isNotNull(), defects, F.col("_text"), F.lit(0)).drop("_unread", "_corrupt", "_text")
+    return write_counted(dealt, path, KINDS, ["paper_id"])
+
+
+def read_typed_papers(spark: SparkSession, path: str) -> DataFrame:
+    """``(paper_id, year, doi, authors)`` of an ingested CSV."""
+    return spark.read.schema(TYPED_SCHEMA).parquet(path).where("slot = 0").select("paper_id", "year", "doi", "authors")
+
+
+def read_aside(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, defects, paper_id)`` of an ingested CSV's rows with a defect."""
+    return spark.read.schema(TYPED_SCHEMA).parquet(path).where(F.col("slot") == ASIDE).select("line", "defects", "paper_id")
+
+
 def write_papers_csv(papers: DataFrame, path: str, sort: bool = True, mode: str = "errorifexists") -> None:
     """Write ``(paper_id, year, doi, authors)`` as a papers CSV, sorted by year."""
     out = papers.select(

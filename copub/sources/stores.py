@@ -1,4 +1,4 @@
-"""Parquet stores for graphs and ego tables, partitioned by year.
+"""Parquet stores for graphs and ego tables, partitioned by year or bucketed.
 
 Stored by ``year``, a one-year read is partition-pruned (no file of another
 year is opened).  Rows are range-partitioned on (year, key) before the write:
@@ -9,7 +9,10 @@ tasks.  Default mode ``errorifexists`` refuses to overwrite.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 VERTEX_SCHEMA = "id bigint, year int"
 EDGE_SCHEMA = "src bigint, dst bigint, number_coll bigint, year int"
@@ -57,3 +60,34 @@ def read_ego(spark: SparkSession, path: str, with_names: bool = True):
     papers = spark.read.schema(PAPERS_SCHEMA).parquet(f"{base}/papers").select("author_id", "year", "papers")
     names = spark.read.schema(NAME_SCHEMA).parquet(f"{base}/names") if with_names else None
     return counts, papers, names
+
+
+BUCKETS = 64  # tasks that read a bucketed graph; some thousands for a very large one
+_BUCKETED = {"vertices": ("year int, id bigint", ["year", "id"]), "edges": ("year int, src bigint, dst bigint, number_coll bigint", ["year", "src"])}
+
+
+def write_bucketed_graph(vertices: DataFrame, edges: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Write a graph with vertices bucketed by (year, id) and edges by (year, src); a path that holds one is refused."""
+    spark, base = vertices.sparkSession, path.rstrip("/")
+    spark.range(1).select(F.lit(int(buckets)).alias("buckets")).coalesce(1).write.parquet(f"{base}/layout")
+    for name, rows in (("vertices", vertices), ("edges", edges)):
+        schema, keys = _BUCKETED[name]
+        columns = [field.split()[0] for field in schema.split(", ")]
+        table = f"copub_{uuid.uuid4().hex}"
+        # dealt as the buckets are, so that a bucket is one file
+        dealt = rows.select(*columns).repartition(int(buckets), *keys)
+        dealt.write.bucketBy(int(buckets), *keys).sortBy(*keys).option("path", f"{base}/{name}").format("parquet").saveAsTable(table)
+        spark.sql(f"DROP TABLE {table}")  # the files stay: they lie in a place of our own
+
+
+def read_bucketed_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges of a bucketed store, as tables of this session that know their buckets."""
+    base = path.rstrip("/")
+    buckets = spark.read.schema("buckets int").parquet(f"{base}/layout").first()["buckets"]
+    out = []
+    for name, (schema, keys) in _BUCKETED.items():
+        table, by = f"copub_{uuid.uuid4().hex}", ", ".join(keys)
+        place = f"{base}/{name}".replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{place}'")
+        out.append(spark.table(table))
+    return out[0], out[1]

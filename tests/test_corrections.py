@@ -1,0 +1,111 @@
+"""Graphs under corrected papers, against a rebuild; the bucketed store; CSV rows aside."""
+
+import os
+import random
+
+import pytest
+
+from copub.operators import corrections, graph
+from copub.sources import papers_csv, stores
+from copub.streaming import corrected_graph, segments
+
+KIND = "paper_id bigint, year int, authors array<bigint>"
+
+
+def rebuilt(papers):
+    """Edges and vertices of papers {id: (year, authors)}, from scratch."""
+    edges, vertices = {}, set()
+    for year, authors in papers.values():
+        if year is None or authors is None:
+            continue
+        some = {a for a in authors if a is not None}
+        vertices |= {(year, a) for a in some}
+        for a in some:
+            for b in some - {a}:
+                edges[year, a, b] = edges.get((year, a, b), 0) + 1
+    return edges, vertices
+
+
+def assert_current(spark, sink, papers):
+    edges, vertices = rebuilt(papers)
+    assert {(r.year, r.src, r.dst): r.number_coll for r in corrected_graph.read_edges(spark, sink).collect()} == edges
+    assert sorted(map(tuple, corrected_graph.read_vertices(spark, sink).collect())) == sorted(vertices)
+    assert {r.paper_id for r in corrected_graph.read_papers(spark, sink).collect()} == {p for p, (_, a) in papers.items() if a is not None}
+
+
+def random_paper(rng):
+    authors = None if rng.random() < 0.15 else [rng.choice([None, *range(12)]) for _ in range(rng.randint(0, 6))]
+    return rng.choice([2000, 2001, 2002, None]), authors
+
+
+def test_deltas_equal_a_rebuild(spark, tmp_dir):
+    rng, sink, papers = random.Random(5), os.path.join(tmp_dir, "sink"), {}
+    for batch in range(6):
+        ids = rng.sample(range(40), 20)
+        rows = {i: random_paper(rng) for i in ids}
+        if batch == 3:  # the same again, authors in another order: no delta
+            rows = {i: (y, a and a[::-1]) for i, (y, a) in papers.items()}
+        df = spark.createDataFrame([(i, *v) for i, v in rows.items()] + [(None, 2000, [1, 2])], KIND).repartition(2)
+        corrected_graph.add_papers(df, batch, sink, fan=3)
+        corrected_graph.add_papers(df, batch, sink, fan=3)  # a replay changes nothing
+        papers |= rows
+        if batch == 3:
+            now = segments.state(spark, sink)["segments"]
+            newest = [s for s in now if s["name"] == "batch-3"]
+            assert newest and spark.read.schema("year int").parquet(f"{sink}/segments/batch-3/edges").count() == 0
+        assert_current(spark, sink, papers)
+    assert len(segments.state(spark, sink)["segments"]) <= 4
+
+
+def test_the_last_copy_of_a_batch_counts(spark, tmp_dir):
+    sink = os.path.join(tmp_dir, "sink")
+    rows = [(1, 2000, [1, 2], 1), (1, 2000, [1, 2, 3], 2), (2, 2000, [1, 2], 5), (2, 2001, None, 9)]
+    corrected_graph.add_papers(spark.createDataFrame(rows, KIND + ", pos int"), 0, sink, order="pos")
+    assert_current(spark, sink, {1: (2000, [1, 2, 3]), 2: (2001, None)})
+    corrected_graph.add_papers(spark.createDataFrame([], KIND + ", pos int"), 1, sink, order="pos")
+    assert_current(spark, sink, {1: (2000, [1, 2, 3]), 2: (2001, None)})
+
+
+def test_a_heavy_paper_is_retracted_in_blocks(spark):
+    old = spark.createDataFrame([(1, 2000, list(range(60))), (2, 2000, [1, 2])], KIND)
+    new = spark.createDataFrame([(1, 2000, list(range(1, 60))), (2, 2000, [2, 1])], KIND)
+    signed = corrections.signed_papers(old, new)
+    assert sorted((r.paper_id, r.sign, len(r.authors)) for r in signed.collect()) == [(1, -1, 60), (1, 1, 59)]
+    delta = {(r.src, r.dst): r.number_coll for r in corrections.edge_delta(signed, block_authors=7).collect()}
+    assert delta == {(0, i): -1 for i in range(1, 60)} | {(i, 0): -1 for i in range(1, 60)}
+
+
+def test_bucketed_store_needs_no_shuffle(spark, tmp_dir):
+    rng = random.Random(6)
+    rows = {(p, 2000 + p % 3, rng.randint(1, 40)) for p in range(200) for _ in range(rng.randint(1, 4))}
+    a = spark.createDataFrame(sorted(rows), "paper_id bigint, year int, author_id bigint")
+    path = os.path.join(tmp_dir, "it's a graph")
+    stores.write_bucketed_graph(graph.vertices(a), graph.edges(a), path, buckets=4)
+    with pytest.raises(Exception):
+        stores.write_bucketed_graph(graph.vertices(a), graph.edges(a), path, buckets=4)
+    v, e = stores.read_bucketed_graph(spark, path)
+    got = graph.vertex_degrees(v, e)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = graph.vertex_degrees(v, e)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "SelectedBucketsCount" in plan
+    want = {(r.year, r.id): r.degree for r in graph.degrees(graph.edges(a)).collect()}
+    assert {(r.year, r.id): r.degree for r in got.collect()} == {(r.year, r.id): want.get((r.year, r.id), 0) for r in graph.vertices(a).collect()}
+    assert sorted(map(tuple, e.collect())) == sorted(map(tuple, graph.edges(a).collect()))
+    for name in ("vertices", "edges"):
+        assert len([f for f in os.listdir(f"{path}/{name}") if f.endswith(".parquet")]) <= 4
+
+
+def test_csv_rows_that_cannot_be_read_lie_aside(spark, tmp_dir):
+    source, path = os.path.join(tmp_dir, "papers.csv"), os.path.join(tmp_dir, "typed")
+    with open(source, "w") as f:
+        f.write('id_paper,year,doi,authors\n1,2019,d1,"[1, 2, 3]"\n2,soon,d2,"[4]"\nx3,2019,d3,"[1]"\n4,2019,d4,not-a-list\n5,2019\n')
+    seen = papers_csv.ingest_papers_csv(spark, source, path)
+    assert (seen["lines"], seen["papers"], seen["aside"]) == (5, 4, 4)
+    assert {r.paper_id: r.authors for r in papers_csv.read_typed_papers(spark, path).collect()} == {1: [1, 2, 3], 2: [4], 4: [], 5: []}
+    aside = {r.paper_id: r for r in papers_csv.read_aside(spark, path).collect()}
+    assert aside[2].defects == ["year"] and aside[4].defects == ["authors"] and aside[None].defects == ["paper id"]
+    assert "line" in aside[5].defects and aside[5].line.startswith("5,2019")
+    assert aside[None].line.startswith("x3,2019,d3,")
