@@ -18,9 +18,9 @@ from copub.operators import ego, graph, periods
 from copub.operators import papers as pp
 from copub.plans import fixtures as fx
 from copub.session import scratch_path
+from copub.sources import archive, papers_csv, stores, topics
 from copub.sources import exports as ex
-from copub.sources import papers_csv, stores, topics
-from copub.streaming import incremental
+from copub.streaming import corrected_graph, incremental
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -648,3 +648,234 @@ def q_graph_metrics_limited(spark, sf_dir):
     # one year's graph from its first N papers: vertices and edges of the slice
     sliced = graph.limit_papers(_dense(spark, sf_dir), EDGES_LIMITED_YEAR, EDGES_LIMITED_N)
     return round_doubles(graph.graph_metrics(sliced))
+
+
+# --------------------------------------------------------------------------
+# The typed archive of the exports: two ingests of a growing folder
+
+
+def _sparse_archive(spark, sf_dir) -> str:
+    """The sparse exports in an archive, taken in as two drops (before / from 1998), once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "sparse-archive")
+    if key not in _WRITTEN:
+        rows = fx.exports_from_authorship(_sparse(spark, sf_dir), fx.names_sparse(spark, sf_dir))
+        folder, path = scratch_path(spark, "exports"), scratch_path(spark, "archive")
+        for part in (rows.where(F.col("year") < 1998), rows.where(F.col("year") >= 1998)):
+            ex.write_exports(part, folder, mode="append")
+            archive.ingest(spark, folder, path, slots=16)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+@register(
+    "papers_from_archive",
+    with_(SPARSE) + PAPERS_SUMMARY_SQL,
+)
+def q_papers_from_archive(spark, sf_dir):
+    return pp.papers_summary(pp.papers_from_exports(archive.read(spark, _sparse_archive(spark, sf_dir))))
+
+
+@register(
+    "ego_from_archive_authors",
+    with_(SPARSE, PAIRS, EGO) + EGO_COUNTS_SQL.replace(
+        "FROM e", f"FROM e WHERE src IN ({NATION_AUTHORS.replace('author_id', 'c_custkey', 1)})"
+    ),
+)
+def q_ego_from_archive_authors(spark, sf_dir):
+    # only the listed authors' slots of the archive are opened
+    authors = fx.table(spark, sf_dir, "customer").where(F.col("c_nationkey") == 3).select(F.col("c_custkey").alias("author_id"))
+    rows = archive.read(spark, _sparse_archive(spark, sf_dir), authors=authors)
+    return ego.collab_counts(ego.links_from_exports(rows))
+
+
+@register(
+    "author_report_from_archive",
+    period_wide_sql(SPARSE, NAMES_SPARSE, fx.BENCH_PERIODS),
+)
+def q_author_report_from_archive(spark, sf_dir):
+    rows = archive.read(spark, _sparse_archive(spark, sf_dir))
+    return round_doubles(periods.period_wide(ego.rows_from_exports(rows), None, fx.BENCH_PERIODS, ego.names_from_exports(rows)))
+
+
+@register(
+    "archive_counts",
+    with_(SPARSE) + "SELECT CAST(count(*) AS BIGINT) AS lines, CAST(count(*) AS BIGINT) AS papers, CAST(0 AS BIGINT) AS aside FROM authorship",
+)
+def q_archive_counts(spark, sf_dir):
+    seen = archive.counts(spark, _sparse_archive(spark, sf_dir))
+    return seen.agg(*(F.sum(c).cast("bigint").alias(c) for c in ("lines", "papers", "aside")))
+
+
+# Lines with defects: urgent papers lose their id's form, those not specified their year, low ones are cut off.
+QUARANTINE_SQL = """q AS (SELECT a.author_id, a.paper_id, a.year, o_orderpriority AS p FROM authorship a JOIN orders ON o_orderkey = a.paper_id),
+aside AS (SELECT 'paper id' AS defect, author_id FROM q WHERE p = '1-URGENT'
+  UNION ALL SELECT 'year', author_id FROM q WHERE p = '4-NOT SPECIFIED'
+  UNION ALL SELECT 'line', author_id FROM q WHERE p = '5-LOW')"""
+
+
+def _spoiled_archive(spark, sf_dir) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, "spoiled-archive")
+    if key not in _WRITTEN:
+        priority = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("paper_id"), F.col("o_orderpriority").alias("p"))
+        rows = fx.exports_from_authorship(_dense(spark, sf_dir), fx.names_dense(spark, sf_dir)).join(priority, "paper_id")
+        source = F.struct(
+            F.when(F.col("p") == "1-URGENT", F.concat(F.lit("x"), F.col("paper_id").cast("string"))).otherwise(F.col("paper_id").cast("string")).alias("id"),
+            F.when(F.col("p") == "4-NOT SPECIFIED", F.lit("soon")).otherwise(F.col("year").cast("string")).alias("year"),
+            F.col("doi"), F.col("authors"),
+        )
+        text = F.to_json(F.struct(source.alias("_source")))
+        text = F.when(F.col("p") == "5-LOW", F.substring(text, 1, 20)).otherwise(text)
+        folder, path = scratch_path(spark, "spoiled"), scratch_path(spark, "spoiled-archive")
+        lines = rows.select(F.col("author_file").alias("author"), text.alias("value"))
+        lines.repartitionByRange("author").write.partitionBy("author").text(folder)
+        archive.ingest(spark, folder, path, slots=8)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+@register(
+    "exports_quarantine",
+    with_(DENSE, QUARANTINE_SQL) + "SELECT defect, author_id, CAST(count(*) AS BIGINT) AS n_lines FROM aside GROUP BY defect, author_id",
+)
+def q_exports_quarantine(spark, sf_dir):
+    aside = archive.quarantine(spark, _spoiled_archive(spark, sf_dir))
+    # the first defect names the line; what follows from it (a cut line has no id) comes after
+    named = aside.select(F.get("defects", 0).alias("defect"), F.col("author_file").alias("author_id"))
+    return named.groupBy("defect", "author_id").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register(
+    "ego_year_papers_with_unread_years",
+    with_(DENSE, QUARANTINE_SQL) + """SELECT author_id, CASE WHEN p <> '4-NOT SPECIFIED' THEN year END AS year, CAST(count(*) AS BIGINT) AS papers
+FROM q WHERE p NOT IN ('1-URGENT', '5-LOW') GROUP BY 1, 2""",
+)
+def q_ego_year_papers_with_unread_years(spark, sf_dir):
+    return ego.year_papers(ego.paper_rows_from_exports(archive.read(spark, _spoiled_archive(spark, sf_dir))))
+
+
+@register(
+    "ego_zero_filled_unread_years",
+    with_(SPARSE.replace("authorship AS", "base AS"),
+          "authorship AS (SELECT paper_id, year, author_id FROM base)", PAIRS,
+          """e AS (SELECT CASE WHEN year <> 1998 THEN year END AS year, src, dst, count(*) AS n FROM pairs GROUP BY 1, src, dst),
+yrs AS (SELECT DISTINCT src, year FROM e), cl AS (SELECT DISTINCT src, dst FROM e)""")
+    + """SELECT yrs.src AS author_id, yrs.year, cl.dst AS collab_id, CAST(coalesce(e.n, 0) AS BIGINT) AS n
+FROM yrs JOIN cl ON yrs.src = cl.src
+LEFT JOIN e ON e.src = yrs.src AND e.year IS NOT DISTINCT FROM yrs.year AND e.dst = cl.dst""",
+)
+def q_ego_zero_filled_unread_years(spark, sf_dir):
+    # 1998 could not be read: its links have a NULL year, one row per shared paper
+    links = ego.links_from_authorship(_sparse(spark, sf_dir))
+    return ego.zero_filled(links.withColumn("year", F.when(F.col("year") != 1998, F.col("year"))))
+
+
+# --------------------------------------------------------------------------
+# The original's main flows, end to end
+
+
+@register("author_report_csv", period_wide_sql(SPARSE, NAMES_SPARSE, fx.BENCH_PERIODS))
+def q_author_report_csv(spark, sf_dir):
+    # stored structures with names -> the wide report -> CSV, and the CSV read back
+    a, path, out = _sparse(spark, sf_dir), scratch_path(spark, "ego"), scratch_path(spark, "report-csv")
+    stores.write_ego(
+        ego.collab_counts(ego.links_from_authorship(a)), ego.year_papers(ego.paper_rows_from_authorship(a)), fx.names_sparse(spark, sf_dir), path
+    )
+    counts, year_papers, names = stores.read_ego(spark, path)
+    report = round_doubles(periods.period_wide(counts, year_papers, fx.BENCH_PERIODS, names))
+    papers_csv.write_csv(report, out)
+    return spark.read.schema(report.schema).option("header", True).option("escape", '"').csv(out)
+
+
+LIMITED = (
+    DENSE.replace("authorship AS", "base AS"),
+    f"""kept AS (SELECT DISTINCT paper_id FROM base WHERE year = {EDGES_LIMITED_YEAR}
+            ORDER BY paper_id LIMIT {EDGES_LIMITED_N})""",
+    "authorship AS (SELECT * FROM base WHERE paper_id IN (SELECT paper_id FROM kept))",
+)
+
+
+@register("yearly_graph_from_csv", with_(*LIMITED, PAIRS, EDGES, METRICS) + "SELECT * FROM metrics")
+def q_yearly_graph_from_csv(spark, sf_dir):
+    # papers CSV -> one year -> its first papers -> graph, stored and read back -> metrics
+    csv, store = scratch_path(spark, "papers-csv"), scratch_path(spark, "graph")
+    papers_csv.write_papers_csv(fx.papers_dense(spark, sf_dir), csv)
+    papers = graph.limit_papers(papers_csv.read_papers_csv(spark, csv), EDGES_LIMITED_YEAR, EDGES_LIMITED_N)
+    edges = graph.edges_from_pairs(graph.coauthor_pairs_from_papers(papers))
+    stores.write_graph(graph.vertices(graph.authorship_from_papers(papers)), edges, store)
+    return round_doubles(graph.metrics(*stores.read_graph(spark, store)))
+
+
+@register("edges_limited_by_count", with_(*LIMITED, PAIRS, EDGES) + "SELECT * FROM edges")
+def q_edges_limited_by_count(spark, sf_dir):
+    # the N-th id found by counting, as it is for limits that no task could sort
+    return graph.edges(graph.limit_papers(_dense(spark, sf_dir), EDGES_LIMITED_YEAR, EDGES_LIMITED_N, top_n=0))
+
+
+# --------------------------------------------------------------------------
+# A bucketed store; corrected papers; names from the stream
+
+
+@register(
+    "vertex_degrees_from_store",
+    with_(DENSE, PAIRS, EDGES) + """SELECT v.year, v.author_id AS id, CAST(2 * count(e.src) AS BIGINT) AS degree
+FROM (SELECT DISTINCT year, author_id FROM authorship) v LEFT JOIN edges e ON e.year = v.year AND e.src = v.author_id
+GROUP BY v.year, v.author_id""",
+)
+def q_vertex_degrees_from_store(spark, sf_dir):
+    a, path = _dense(spark, sf_dir), scratch_path(spark, "bucketed-graph")
+    stores.write_bucketed_graph(graph.vertices(a), graph.edges(a), path, buckets=8)
+    return graph.vertex_degrees(*stores.read_bucketed_graph(spark, path))
+
+
+CORRECTED = (
+    DENSE.replace("authorship AS", "base AS"),
+    """least AS (SELECT paper_id, min(author_id) AS first FROM base GROUP BY paper_id)""",
+    """authorship AS (
+  SELECT b.paper_id, CASE WHEN p = '1-URGENT' THEN year + 1 ELSE year END AS year, author_id
+  FROM base b JOIN least USING (paper_id) JOIN (SELECT o_orderkey AS paper_id, o_orderpriority AS p FROM orders) USING (paper_id)
+  WHERE p <> '5-LOW' AND NOT (p = '1-URGENT' AND author_id = first))""",
+)
+
+
+def _corrected_graph(spark, sf_dir) -> str:
+    """All dense papers; then the urgent ones a year later without their first author; then the low ones withdrawn."""
+    key = (spark.sparkContext.applicationId, sf_dir, "corrected-graph")
+    if key not in _WRITTEN:
+        sink = scratch_path(spark, "corrected-graph")
+        papers = fx.papers_dense(spark, sf_dir)
+        priority = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("paper_id"), F.col("o_orderpriority").alias("p"))
+        known = papers.join(priority, "paper_id")
+        urgent = known.where("p = '1-URGENT'").withColumns({"year": F.col("year") + 1, "authors": F.expr("slice(authors, 2, greatest(size(authors) - 1, 0))")})
+        withdrawn = known.where("p = '5-LOW'").withColumn("authors", F.lit(None).cast("array<bigint>"))
+        for batch, rows in enumerate((papers, urgent, withdrawn)):
+            corrected_graph.add_papers(rows.select("paper_id", "year", "authors"), batch, sink, fan=3)
+        _WRITTEN[key] = sink
+    return _WRITTEN[key]
+
+
+@register("edges_after_corrections", with_(*CORRECTED, PAIRS, EDGES) + "SELECT * FROM edges")
+def q_edges_after_corrections(spark, sf_dir):
+    return corrected_graph.read_edges(spark, _corrected_graph(spark, sf_dir))
+
+
+@register("graph_metrics_after_corrections", with_(*CORRECTED, PAIRS, EDGES, METRICS) + "SELECT * FROM metrics")
+def q_graph_metrics_after_corrections(spark, sf_dir):
+    sink = _corrected_graph(spark, sf_dir)
+    return round_doubles(graph.metrics(corrected_graph.read_vertices(spark, sink), corrected_graph.read_edges(spark, sink)))
+
+
+@register(
+    "author_names_stream",
+    with_(DENSE) + "SELECT DISTINCT a.author_id, s.s_name AS name FROM authorship a LEFT JOIN supplier s ON s.s_suppkey = a.author_id",
+)
+def q_author_names_stream(spark, sf_dir):
+    return incremental.read_stream_names(spark, _stream_two_drops(spark, sf_dir))
+
+
+@register("papers_csv_typed", with_(DENSE) + PAPERS_SUMMARY_SQL)
+def q_papers_csv_typed(spark, sf_dir):
+    # the CSV parsed once into typed Parquet, rows with defects aside (none here)
+    csv, path = scratch_path(spark, "papers-csv"), scratch_path(spark, "papers-typed")
+    papers_csv.write_papers_csv(fx.papers_dense(spark, sf_dir), csv)
+    papers_csv.ingest_papers_csv(spark, csv, path)
+    return pp.papers_summary(papers_csv.read_typed_papers(spark, path))
