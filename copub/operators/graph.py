@@ -17,9 +17,9 @@ Input shapes:
 
 Scale notes.  The edges of a paper with k authors are its k(k-1) ordered
 pairs; they are the output, so they must be produced, but never all in one
-task: light papers are paired by a self-join on the paper, and a paper with
-more than ``BLOCK_AUTHORS`` authors is cut into blocks whose cells spread its
-pairs over many tasks, however many such papers there are.  In the array
+task: a light paper's authors become one bounded list, paired with itself, and a
+paper with more than ``BLOCK_AUTHORS`` authors is cut into blocks whose cells spread
+its pairs over many tasks, however many such papers there are.  In the array
 form, short lists pair inside their scan task and long ones take the blocked
 join.  Every aggregation below is partial + final (map-side combine), so a
 hot key (one year, one author) never lands whole in one task.
@@ -76,39 +76,42 @@ def _sized(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
 def _heavy_pairs(heavy: DataFrame, keys: list[str]) -> DataFrame:
     """Ordered pairs of the heavy papers' authors, cell by cell.
 
-    A paper of s blocks has s x s cells.  An author of block b is a left author in the cells
-    (b, 0..s-1) and a right author in the cells (0..s-1, b): the ordered pair (u, v) meets in the one
-    cell (block(u), block(v)), and a cell holds about ``block_authors`` authors on either side.
-    The two sides are tables of their own, so no row is looked at in a role it does not have.
+    A paper of s blocks has s x s cells.  An author of block b is a left author of the cells
+    (b, 0..s-1) and a right author of the cells (0..s-1, b): the ordered pair (u, v) meets in the one
+    cell (block(u), block(v)).  A cell gathers about ``block_authors`` authors on either side, and
+    the rows are dealt by cell, so the pairs of a paper are made by many tasks.
     """
     mine = F.pmod(F.xxhash64("author_id"), F.col("_s")).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
-    left = heavy.select(*keys, F.col("author_id").alias("src"), mine.alias("_i"), others.alias("_j"))
-    right = heavy.select(*keys, F.col("author_id").alias("dst"), mine.alias("_j"), others.alias("_i"))
-    # dealt by cell even if one side is broadcast: the pairs come from the other side's tasks
-    cell = [*keys, "_i", "_j"]
-    return left.repartition(*cell).join(right.repartition(*cell), cell).where("src <> dst").select(*keys, "src", "dst")
+    placed = heavy.select(*keys, "author_id", mine.alias("_b"), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_o"))
+    sides = F.array(
+        F.struct(F.col("_b").alias("i"), F.col("_o").alias("j"), F.lit(True).alias("left")),
+        F.struct(F.col("_o").alias("i"), F.col("_b").alias("j"), F.lit(False).alias("left")),
+    )
+    dealt = placed.select(*keys, "author_id", F.explode(sides).alias("c")).select(*keys, "author_id", "c.*").repartition(*keys, "i", "j")
+    cells = dealt.groupBy(*keys, "i", "j").agg(
+        F.collect_list(F.when(F.col("left"), F.col("author_id"))).alias("_l"), F.collect_list(F.when(~F.col("left"), F.col("author_id"))).alias("_r")
+    )
+    return _crossed(cells, keys, "_l", "_r")
+
+
+def _crossed(baskets: DataFrame, keys: list[str], left: str, right: str) -> DataFrame:
+    """The ordered pairs of two bounded lists in one row."""
+    one = baskets.select(*keys, right, F.explode(left).alias("src"))
+    return one.select(*keys, "src", F.explode(right).alias("dst")).where("src <> dst")
 
 
 def _pairs(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
     sized = _sized(rows, keys, block_authors)
-    light = sized.where(F.col("_s").isNull()).select(*keys, "author_id")
-    # both sides are one subtree, already partitioned by the paper: one shuffle, read twice
-    a, b = light.alias("a"), light.alias("b")
-    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    cond.append(F.col("a.author_id") != F.col("b.author_id"))
-    met = a.join(b, reduce(lambda x, y: x & y, cond), "inner").select(
-        *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.author_id").alias("src"), F.col("b.author_id").alias("dst")
-    )
-    return met.unionByName(_heavy_pairs(sized.where(F.col("_s").isNotNull()), keys))
+    light = sized.where(F.col("_s").isNull()).groupBy(*keys).agg(F.collect_list("author_id").alias("_a"))
+    return _crossed(light, keys, "_a", "_a").unionByName(_heavy_pairs(sized.where(F.col("_s").isNotNull()), keys))
 
 
 def coauthor_pairs(authorship: DataFrame, block_authors: int = BLOCK_AUTHORS) -> DataFrame:
     """Ordered co-author pairs ``(year, src, dst)``, one row per shared paper.
 
-    Equi-join of the authorship table with itself on the paper; both sides
-    are the same subtree, so the shuffle is written once and read by both.
-    A paper with more than ``block_authors`` authors is paired by many tasks
+    One shuffle by paper: the authors of a light paper are a list of at most
+    ``block_authors``, paired where it lies.  A paper with more than
+    ``block_authors`` authors is paired by many tasks
     (see ``_heavy_pairs``: its k^2 pairs never land in one task), and the size
     count that decides it is a partial aggregation.  A (paper, author) row given twice pairs twice, as
     an id listed twice in one author list does.
