@@ -263,7 +263,9 @@ def audit(docs: DataFrame, tampered: Column, text: Column, fields: tuple[str, ..
         own.alias("hash"), F.when(tampered, changed).alias("changed"),
     )
     # written, so that the range partitioning's sample reads digests instead of texts
-    leaves = placed(tables.written(leaves, "merkle-leaves"), "grp", ["doc_id", "hash"], "merkle-places")
+    unordered = tables.written(leaves, "merkle-leaves")
+    leaves = placed(unordered, "grp", ["doc_id", "hash"], "merkle-places")
+    tables.drop(unordered)  # placed and written anew
     tiers = _climb(leaves.select("grp", F.lit(None).cast("string").alias("name"), "pos", "size", "hash"), "merkle-tops")
     roots = tiers[-1].select(F.lit("").alias("grp"), F.col("grp").alias("name"), "hash")
     roots = placed(roots, "grp", ["name"], "merkle-subroots").select("grp", "name", "pos", "size", "hash")
