@@ -152,10 +152,17 @@ WITH parsed AS (
   FROM pages
 ), known AS (
   SELECT doc_id AS page_id, min(quality) AS outcome FROM labels WHERE quality IN (0, 1) GROUP BY doc_id HAVING min(quality) = max(quality)
+), sites AS (
+  SELECT *, regexp_replace(host, '^.*@|\.*(:[0-9]*)?\z', '', 'gs') AS site FROM parsed
+), counted AS (
+  SELECT site AS host, count(outcome) AS n, coalesce(sum(outcome), 0) AS good, string_split(site, '.') AS labels,
+         CASE WHEN regexp_matches(site, '^(\[.*|[0-9]+(\.[0-9]+){3})\z', 's') THEN 0
+              WHEN regexp_matches(site, '(^|\.)((KINDS)\.[a-z][a-z]|SHARED)\z') THEN 2 ELSE 1 END AS of_suffix
+  FROM sites LEFT JOIN known USING (page_id) GROUP BY site
 ), hosts AS (
-  SELECT host, count(outcome) AS n, coalesce(sum(outcome), 0) AS good, string_split(host, '.')[-1] AS suffix,
-         array_to_string(string_split(host, '.')[-2:], '.') AS domain
-  FROM parsed LEFT JOIN known USING (page_id) GROUP BY host
+  SELECT host, n, good, CASE WHEN of_suffix = 0 THEN 'address' ELSE array_to_string(labels[greatest(len(labels) - of_suffix + 1, 1):], '.') END AS suffix,
+         CASE WHEN of_suffix = 0 THEN host ELSE array_to_string(labels[greatest(len(labels) - of_suffix, 1):], '.') END AS domain
+  FROM counted
 ), overall AS (SELECT (sum(good) + 1) / (sum(n) + 2) AS up FROM hosts),
 s0 AS (SELECT suffix, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(good) AS DOUBLE) AS good, any_value(up) AS up FROM hosts, overall GROUP BY suffix),
 sr AS (SELECT least(0.9, greatest(0.001, coalesce(sum(n * (good / n - up) ** 2 - up * (1 - up)) / nullif(sum(up * (1 - up) * (n - 1)), 0), 0.001))) AS r FROM s0 WHERE n > 0),
@@ -173,13 +180,13 @@ ruled AS (
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/'
-  END AS rule FROM parsed
+  END AS rule FROM sites
 )
-SELECT page_id, host, path, rule,
+SELECT page_id, ruled.host, path, rule,
        CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow'
             ELSE CASE WHEN bound < 0.75 THEN 'block' ELSE 'allow' END END AS verdict
-FROM ruled JOIN bounds USING (host)
-"""
+FROM ruled JOIN bounds ON ruled.site = bounds.host
+""".replace("KINDS", url_filter.KINDS.replace(" ", "|")).replace("SHARED", url_filter.SHARED.replace(".", "[.]").replace(" ", "|"))
 
 
 def _op11(most_levels: int = 8) -> str:

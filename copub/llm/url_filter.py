@@ -19,6 +19,10 @@ BOUND_ERRORS = 1.645  # posterior standard deviations below the mean
 LEAST_RATE = 0.75
 # (host, path) -> verdict, as the service's owner states them
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+# Labels that countries use for kinds of registrants, so that "co.uk" is a suffix as a whole,
+KINDS = "ac co com edu firm gen go gob gov govt gouv id in ind info ltd me mil ne net nhs nom or org plc re sch web"
+# and domains whose subdomains belong to different owners
+SHARED = "appspot.com azurewebsites.net blogspot.com cloudfront.net github.io gitlab.io herokuapp.com netlify.app pages.dev vercel.app web.app wordpress.com"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,6 +36,23 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def site(host: Column) -> Column:
+    """The host without user part, port and trailing dots: what a reputation belongs to."""
+    return F.regexp_replace(host, r"(?s)^.*@|\.*(:[0-9]*)?\z", "")
+
+
+def suffix_labels(site: Column) -> Column:
+    """How many labels the site's public suffix has: 2 for a kind under a country, or a shared domain; 0 for addresses."""
+    two = f"(^|\\.)(({KINDS.replace(' ', '|')})\\.[a-z][a-z]|{SHARED.replace('.', '[.]').replace(' ', '|')})\\z"
+    address = r"(?s)^(\[.*|[0-9]+(\.[0-9]+){3})\z"
+    return F.when(site.rlike(address), 0).when(site.rlike(two), 2).otherwise(1)
+
+
+def _last_labels(site: Column, n: Column) -> Column:
+    labels = F.split(site, r"\.")
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), F.size(labels)), ".")
+
+
 def matching_rule(rules: dict[str, str], host: Column, path: Column) -> Column:
     """The longest rule that fits: its host or a subdomain, and a path that begins with the rule's."""
     out = F.lit(None).cast("string")
@@ -58,15 +79,16 @@ def _shrunk(level: DataFrame, key: str) -> DataFrame:
 
 
 def reputation(outcomes: DataFrame) -> DataFrame:
-    """Per host: n and good pages, the shrunk ``rate`` and its lower posterior ``bound``.
+    """Per host (as ``site`` gives it): n and good pages, the shrunk ``rate`` and its lower posterior ``bound``.
 
     ``outcomes`` has host and outcome (1, 0 or null) per page; hosts without labelled pages are
-    judged by their domain or suffix.  Without any labels every rate is one half.
+    judged by their domain or suffix.  The registered domain is the public suffix and the label before it; an
+    address is its own domain, under the suffix of all addresses.  Without any labels every rate is one half.
     """
     hosts = outcomes.groupBy("host").agg(F.count("outcome").alias("n"), F.sum(F.coalesce("outcome", F.lit(0))).alias("good"))
-    labels = F.split("host", r"\.")
-    suffix = F.element_at(labels, -1)
-    domain = F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(F.col("host"))
+    n = suffix_labels(F.col("host"))
+    suffix = F.when(n == 0, F.lit("address")).otherwise(_last_labels(F.col("host"), n))
+    domain = F.when(n == 0, F.col("host")).otherwise(_last_labels(F.col("host"), n + 1))
     hosts = tables.written(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
@@ -86,10 +108,10 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str] = RULES,
     judged like any other.  Repeated rows each give a row; other columns are ignored.
     """
     url = F.col("url").cast("string")
-    parsed = pages.select("page_id", host(url).alias("host"), path(url).alias("path"))
+    parsed = pages.select("page_id", host(url).alias("host"), path(url).alias("path")).withColumn("site", site(F.col("host")))
     known = outcomes.where("outcome in (0, 1)").groupBy("page_id").agg(F.min("outcome").alias("outcome"), F.max("outcome").alias("other")).where("outcome = other").select("page_id", F.col("outcome").cast("long"))
-    scored = reputation(parsed.join(known, "page_id", "left").select("host", "outcome"))
-    judged = parsed.join(scored.select("host", "bound"), "host")
+    scored = reputation(parsed.join(known, "page_id", "left").select(F.col("site").alias("host"), "outcome"))
+    judged = parsed.join(scored.select(F.col("host").alias("site"), "bound"), "site")
     rule = matching_rule(rules, F.col("host"), F.col("path"))
     verdicts = F.create_map(*(F.lit(x) for pair in rules.items() for x in pair))
     by_method = F.when(F.col("bound") < least, F.lit("block")).otherwise(F.lit("allow"))
