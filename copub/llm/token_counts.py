@@ -1,7 +1,7 @@
 """Token counts of a unigram tokenizer, by dynamic programming over a trie.
 
-Each text is cut into pre-tokens.  A task inserts its distinct pre-tokens in a
-trie of bytes.  The best unigram score of a prefix (the largest sum of token log
+Each text is cut into pre-tokens.  A task inserts its distinct pre-tokens, block by block, in
+one trie of bytes.  The best unigram score of a prefix (the largest sum of token log
 probabilities over its segmentations) depends on nothing behind it, so every
 trie node is computed once, however many pre-tokens pass through it, and a
 pre-token's node stores its token count.  Texts then add up their pre-tokens.
@@ -16,7 +16,6 @@ import base64
 from collections.abc import Iterator
 from itertools import chain
 from math import log
-from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .words import chunks
 
-CACHED = 500_000
+NODES = 1_000_000
+LONG = 1_000
 NONE = float("-inf")
 
 
@@ -51,39 +51,73 @@ def endings(scores: dict[bytes, float]) -> tuple[dict[int, int], list[float | No
 
 
 class Trie:
-    """Prefixes in a trie; the branch being extended keeps its nodes' scores.
+    """Pre-tokens in a trie of bytes; every node holds its prefix's best score and its token count.
 
-    Pre-tokens are inserted in byte order, so the trie is walked depth first: a node is
-    entered once, and only the current branch has to be held.
+    Nodes stay from one block of pre-tokens to the next, so a prefix is scored once while the trie
+    lives.  A trie of ``NODES`` nodes is full: it is emptied before the next pre-token.  Pre-tokens
+    of more than ``LONG`` bytes share few prefixes and are scored beside it, with as many
+    scores in memory as the longest token has bytes.
     """
 
-    def __init__(self, step: dict[int, int], value: list[float | None]) -> None:
-        self.step, self.value = step, value
+    def __init__(self, step: dict[int, int], value: list[float | None], longest: int) -> None:
+        self.step, self.value, self.longest = step, value, longest
+        self.clear()
+
+    def clear(self) -> None:
+        self.child: dict[int, int] = {}  # (node << 8 | byte) -> node
+        self.best, self.tokens = [0.0], [0]
+
+    def _last_token(self, word: bytes, end: int, scores: list[float]) -> tuple[float, int]:
+        """Best score of word[:end] and the length of its last token; scores[-n] is that of word[: end - n]."""
+        top, length, state = NONE, 0, 0
+        for n in range(1, min(end, self.longest) + 1):
+            state = self.step.get(state << 8 | word[end - n])
+            if state is None:
+                break
+            score = self.value[state]
+            if score is not None and scores[-n] + score >= top:
+                top, length = scores[-n] + score, n
+        if not length:
+            raise ValueError("the vocabulary lacks a byte")
+        return top, length
+
+    def _insert(self, word: bytes) -> int:
+        """The token count at the word's node."""
+        child, best, tokens = self.child, self.best, self.tokens
+        node, at = 0, 0
+        path = [0]
+        while at < len(word) and (following := child.get(node << 8 | word[at])) is not None:
+            node, at = following, at + 1
+            path.append(node)
+        if at < len(word):
+            scores = [best[n] for n in path]
+            for end in range(at + 1, len(word) + 1):
+                top, length = self._last_token(word, end, scores)
+                following = child[node << 8 | word[end - 1]] = len(best)
+                best.append(top)
+                tokens.append(tokens[path[end - length]] + 1)
+                scores.append(top)
+                path.append(following)
+                node = following
+        return tokens[node]
+
+    def _beside(self, word: bytes) -> int:
+        scores, counts = [0.0], [0]  # of the last prefixes
+        for end in range(1, len(word) + 1):
+            top, length = self._last_token(word, end, scores)
+            scores.append(top)
+            counts.append(counts[-length] + 1)
+            if len(scores) > 8 * self.longest:
+                del scores[: -self.longest], counts[: -self.longest]
+        return counts[-1]
 
     def count(self, words: list[bytes]) -> list[int]:
-        """Tokens of the best segmentation of each word; words sorted and distinct."""
-        step, value = self.step.get, self.value
-        best, tokens = [0.0], [0]  # of the current branch's prefixes
-        before = b""
+        """Tokens of the best segmentation of each word."""
         out = []
         for word in words:
-            shared = len(commonprefix((before, word)))
-            del best[shared + 1 :], tokens[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                top, at, state = NONE, -1, 0
-                for begin in range(end - 1, -1, -1):
-                    state = step(state << 8 | word[begin])
-                    if state is None:
-                        break
-                    score = value[state]
-                    if score is not None and best[begin] + score >= top:
-                        top, at = best[begin] + score, begin
-                if at < 0:
-                    raise ValueError("the vocabulary lacks a byte")
-                best.append(top)
-                tokens.append(tokens[at] + 1)
-            before = word
-            out.append(tokens[len(word)])
+            if len(self.best) > NODES:
+                self.clear()
+            out.append(self._insert(word) if len(word) <= LONG else self._beside(word))
         return out
 
 
@@ -96,7 +130,8 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     and empty texts have no tokens.  Repeated rows each give a row; columns other than
     doc_id and text are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(endings(read_scores(vocabulary)))
+    scores = read_scores(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((*endings(scores), max(map(len, scores))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import gc
@@ -106,15 +141,14 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         find = regex.compile(pattern).findall
         trie = Trie(*shared.value)
         gc.disable()  # the tables are large and hold no cycles
-        known: dict[str, int] = {}  # terminal counts
-        for batch in chunks(batches, "text"):
-            cut = [find(t) if t else [] for t in batch.column("text").to_pylist()]
-            if len(known) > CACHED:
-                known.clear()
-            new = set(chain.from_iterable(cut)).difference(known)
-            pairs = sorted((w.encode(), w) for w in new)
-            known.update(zip([w for _, w in pairs], trie.count([b for b, _ in pairs])))
-            total = [sum(map(known.__getitem__, words)) for words in cut]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(c) for c in cut], pa.int64()), pa.array(total, pa.int64())], ["doc_id", "n_pretokens", "n_tokens"])
+        try:
+            for batch in chunks(batches, "text"):
+                cut = [find(t) if t else [] for t in batch.column("text").to_pylist()]
+                words = list(set(chain.from_iterable(cut)))
+                of = dict(zip(words, trie.count([w.encode() for w in words])))
+                total = [sum(map(of.__getitem__, c)) for c in cut]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(c) for c in cut], pa.int64()), pa.array(total, pa.int64())], ["doc_id", "n_pretokens", "n_tokens"])
+        finally:
+            gc.enable()  # the worker may go on with other jobs
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_pretokens long, n_tokens long")
