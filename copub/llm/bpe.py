@@ -8,7 +8,7 @@ fragments' ids in order.
 
 The vocabulary is read on the driver and travels to the tasks.  A task encodes
 each distinct word and each distinct fragment once while they stay in its
-caches, which hold a bounded number of entries; results do not depend on them.
+caches, which hold a bounded number of bytes; results do not depend on them.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .words import chunks
 
-CACHED = 500_000
+CACHE_BYTES = 96 << 20  # of each of the three caches
+ENTRY_BYTES = 150  # of an entry, beside its text and ids
 _BLANK = re.compile("[ \t\n\r\x0b\x0c]+")
 _ODD = re.compile("[\x1c-\x1f]")
 
@@ -115,6 +116,21 @@ def _simple_words(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _BYTE[np.frombuffer(text, np.uint8)], of
 
 
+class Cache(dict[str, bytes]):
+    """Texts already encoded -> their ids; ``trim`` empties it when it holds more than ``CACHE_BYTES``."""
+
+    held = 0
+
+    def learn(self, texts: list[str], ids: list[bytes]) -> None:
+        self.held += ENTRY_BYTES * len(texts) + sum(map(len, texts)) + sum(map(len, ids))
+        self.update(zip(texts, ids))
+
+    def trim(self) -> None:
+        if self.held > CACHE_BYTES:
+            self.clear()
+            self.held = 0
+
+
 class Encoder:
     """Encodes and decodes texts with a vocabulary file of the tokenizers library."""
 
@@ -151,8 +167,8 @@ class Encoder:
             self.tokens[i] = token
         self.simple = spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == PRE_TOKENIZER
         # ids, as bytes, of pieces and of inner and last fragments already encoded
-        self.ids: dict[str, bytes] = {}
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.ids = Cache()
+        self.known = (Cache(), Cache())
 
     def _encode_fragments(self, fragments: list[str], last: bool) -> None:
         known = self.known[last]
@@ -162,7 +178,7 @@ class Encoder:
         made = (self.last if last else self.inner).encode(" ".join(new), add_special_tokens=False)
         ids = np.array(made.ids, "<u4").tobytes()
         ends = (4 * np.searchsorted(np.array(made.word_ids), np.arange(len(new)), side="right")).tolist()
-        known.update(zip(new, [ids[x:y] for x, y in zip([0, *ends], ends)]))
+        known.learn(new, [ids[x:y] for x, y in zip([0, *ends], ends)])
 
     def _words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The pieces' words, as byte characters with a blank after each, and each word's piece."""
@@ -198,18 +214,16 @@ class Encoder:
         fragments = [line[x:y] for x, y in zip(begin.tolist(), end.tolist())]
         flags = last.tolist()
         for kind in (False, True):
-            if len(self.known[kind]) > CACHED:
-                self.known[kind].clear()
+            self.known[kind].trim()
             self._encode_fragments([f for f, flag in zip(fragments, flags) if flag == kind], kind)
         inner, final = self.known
         ids = [final[f] if flag else inner[f] for f, flag in zip(fragments, flags)]
         upto = np.searchsorted(of[word], np.arange(len(pieces)), side="right").tolist()
-        self.ids.update(zip(pieces, [ids[x] if y == x + 1 else b"".join(ids[x:y]) for x, y in zip([0, *upto], upto)]))
+        self.ids.learn(pieces, [ids[x] if y == x + 1 else b"".join(ids[x:y]) for x, y in zip([0, *upto], upto)])
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Ids (little-endian unsigned 32-bit) and decoded text of every text."""
-        if len(self.ids) > CACHED:
-            self.ids.clear()
+        self.ids.trim()
         cut_texts = [self._pieces(text) for text in texts]
         new = list(set(chain.from_iterable(cut_texts)).difference(self.ids))
         if new:
@@ -256,8 +270,11 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
 
         encoder = Encoder(shared.value)
         gc.disable()  # the caches are large and hold no cycles
-        for batch in chunks(batches, "text"):
-            ids, decoded = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+        try:
+            for batch in chunks(batches, "text"):
+                ids, decoded = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+        finally:
+            gc.enable()  # the worker may go on with other jobs
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, decoded string")
