@@ -1,9 +1,11 @@
 """The training-text operators against brute force, on small and awkward tables."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -230,6 +232,37 @@ def test_simple_characters_equal_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [whole.encode(t, add_special_tokens=False).ids for t in lines]
 
 
+def test_full_caches_do_not_change_ids(monkeypatch):
+    whole, own = open(VOCABULARY, encoding="utf-8").read(), None
+    blocks = [[f"word{i} other{i * 7} tail" for i in range(at, at + 20)] for at in range(0, 100, 20)]
+    want = [bpe.Encoder(whole).encode(b) for b in blocks]
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    own = bpe.Encoder(whole)
+    assert [own.encode(b) for b in blocks] == want
+    own.ids.trim()
+    assert len(own.ids) == own.ids.held == 0
+
+
+@pytest.mark.parametrize("nodes, long", [(1_000_000, 1_000), (50, 1_000), (1_000_000, 3), (50, 3)])
+def test_trie_of_any_size_counts_alike(monkeypatch, nodes, long):
+    rng = random.Random(5)
+    scores = {bytes([x]): -9.0 + x / 100 for x in b"abc"} | {b"ab": -4.0, b"abc": -8.0, b"ca": -5.0, b"bcab": -9.5, b"aaaa": -6.0}
+    words = ["".join(rng.choices("abc", k=rng.randrange(0, 40))).encode() for _ in range(300)]
+
+    def tokens(word):
+        best = [(0.0, 0, 0)]
+        for end in range(1, len(word) + 1):
+            best.append(max((best[end - n][0] + scores[word[end - n : end]], n, best[end - n][2] + 1) for n in range(1, min(end, 4) + 1) if word[end - n : end] in scores))
+        return best[-1][2]
+
+    monkeypatch.setattr(token_counts, "NODES", nodes)
+    monkeypatch.setattr(token_counts, "LONG", long)
+    trie = token_counts.Trie(*token_counts.endings(scores), 4)
+    assert trie.count(words[:150]) + trie.count(words[150:]) == list(map(tokens, words))
+    if nodes > 50 and long > 40:  # one node for each distinct prefix, the empty one included
+        assert len(trie.best) == len({w[:n] for w in words for n in range(len(w) + 1)})
+
+
 def test_token_counts(docs, empty, texts):
     import regex
 
@@ -333,6 +366,31 @@ def test_urls(spark):
     assert url_filter.judge(pages.where("false"), outcomes).count() == 0
 
 
+def test_reputations_belong_to_registered_domains(spark, tmp_path):
+    hosts = {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "c.co.uk:8080": ("c.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "u:p@w.me.github.io": ("me.github.io", "github.io"),
+        "x.y.example.com.": ("example.com", "com"), "example.com:80": ("example.com", "com"), "co.com": ("co.com", "com"), "com": ("com", "com"), "": ("", ""),
+        "10.0.0.1:99": ("10.0.0.1", "address"), "[::1]": ("[::1]", "address"), "a.notgithub.io": ("notgithub.io", "io"), "x.gov.example": ("gov.example", "example"),
+    }
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").withColumn("site", url_filter.site(F.col("host")))
+    n = url_filter.suffix_labels(F.col("site"))
+    got = df.select("host", F.when(n == 0, F.col("site")).otherwise(url_filter._last_labels(F.col("site"), n + 1)), F.when(n == 0, "address").otherwise(url_filter._last_labels(F.col("site"), n)))
+    assert {r[0]: (r[1], r[2]) for r in got.collect()} == hosts
+    # the whole operator against its SQL; ids and urls repeat, and some are null
+    rng = random.Random(3)
+    urls = [f"http://{rng.choice(list(hosts))}/{i}" for i in range(400)] + [None, None, "http://co.uk/", "http://co.uk/"]
+    folder = str(tmp_path)
+    rows = [(None if i % 90 == 7 else i // 2, u) for i, u in enumerate(urls)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(folder + "/pages.parquet")
+    spark.createDataFrame([(i, rng.randrange(2) if i % 7 else None) for i in range(200)] + [(None, 1), (4, 0), (4, 1)], "doc_id long, quality int").write.parquet(folder + "/labels.parquet")
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    want = Counter(con.execute(queries.oracle_sql()["op8_url_filter"]).fetchall())
+    assert Counter(map(tuple, queries.op8_url_filter(spark, folder).collect())) == want
+    assert sum(want.values()) == len(urls)
+
+
 def test_classifiers_on_awkward_tables(spark, docs, empty, texts):
     labels = spark.createDataFrame([(1, 0, 0), (1, 1, 1), (None, 1, 1), (999, 1, 1)], "doc_id long, quality int, toxic int")
     machine, model = fm_quality.fit(docs, labels), toxicity.fit(docs, labels)  # nothing usable to fit on
