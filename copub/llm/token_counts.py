@@ -13,7 +13,7 @@ taken from Zipf's law: proportional to 1 / (rank + 1).
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from math import log
 
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .words import chunks
 
-NODES = 1_000_000
+TRIE_BYTES = 256 << 20
+NODE_BYTES = 200  # about so many a node, or an entry of the index, takes
 LONG = 1_000
 NONE = float("-inf")
 
@@ -54,9 +55,9 @@ class Trie:
     """Pre-tokens in a trie of bytes; every node holds its prefix's best score and its token count.
 
     Nodes stay from one block of pre-tokens to the next, so a prefix is scored once while the trie
-    lives.  A trie of ``NODES`` nodes is full: it is emptied before the next pre-token.  Pre-tokens
-    of more than ``LONG`` bytes share few prefixes and are scored beside it, with as many
-    scores in memory as the longest token has bytes.
+    lives; ``ends`` leads from a pre-token inserted before to its node.  Beyond about
+    ``TRIE_BYTES`` the trie is emptied.  Pre-tokens of more than ``LONG`` bytes share few
+    prefixes and are scored beside it, in pieces, with a bounded number of scores in memory.
     """
 
     def __init__(self, step: dict[int, int], value: list[float | None], longest: int) -> None:
@@ -66,58 +67,72 @@ class Trie:
     def clear(self) -> None:
         self.child: dict[int, int] = {}  # (node << 8 | byte) -> node
         self.best, self.tokens = [0.0], [0]
-
-    def _last_token(self, word: bytes, end: int, scores: list[float]) -> tuple[float, int]:
-        """Best score of word[:end] and the length of its last token; scores[-n] is that of word[: end - n]."""
-        top, length, state = NONE, 0, 0
-        for n in range(1, min(end, self.longest) + 1):
-            state = self.step.get(state << 8 | word[end - n])
-            if state is None:
-                break
-            score = self.value[state]
-            if score is not None and scores[-n] + score >= top:
-                top, length = scores[-n] + score, n
-        if not length:
-            raise ValueError("the vocabulary lacks a byte")
-        return top, length
+        self.ends: dict[str, int] = {}
+        self.held = 0  # bytes of the pre-tokens in ``ends``
+
+    def _grow(self, word: bytes, at: int, to: int, scores: list[float], counts: list[int]) -> None:
+        """Append the best scores and token counts of word[: at + 1] to word[:to].
+
+        The lists end with those of word[:at], and reach back as far as the longest token.
+        """
+        step, value = self.step.get, self.value
+        for end in range(at + 1, to + 1):
+            top, length, state = NONE, 0, 0
+            for n in range(1, end + 1):
+                state = step(state << 8 | word[end - n])
+                if state is None:
+                    break
+                score = value[state]
+                if score is not None and scores[-n] + score >= top:
+                    top, length = scores[-n] + score, n
+            if not length:
+                raise ValueError("the vocabulary lacks a byte")
+            scores.append(top)
+            counts.append(counts[-length] + 1)
 
     def _insert(self, word: bytes) -> int:
-        """The token count at the word's node."""
+        """The word's node."""
         child, best, tokens = self.child, self.best, self.tokens
-        node, at = 0, 0
         path = [0]
-        while at < len(word) and (following := child.get(node << 8 | word[at])) is not None:
-            node, at = following, at + 1
+        for byte in word:
+            node = child.get(path[-1] << 8 | byte)
+            if node is None:
+                break
             path.append(node)
-        if at < len(word):
-            scores = [best[n] for n in path]
-            for end in range(at + 1, len(word) + 1):
-                top, length = self._last_token(word, end, scores)
-                following = child[node << 8 | word[end - 1]] = len(best)
-                best.append(top)
-                tokens.append(tokens[path[end - length]] + 1)
-                scores.append(top)
-                path.append(following)
-                node = following
-        return tokens[node]
+        shared = len(path)
+        if shared <= len(word):
+            scores, counts = [best[n] for n in path], [tokens[n] for n in path]
+            self._grow(word, shared - 1, len(word), scores, counts)
+            node = path[-1]
+            for byte in word[shared - 1 :]:
+                child[node << 8 | byte] = node = len(child) + 1
+            best += scores[shared:]
+            tokens += counts[shared:]
+            return node
+        return path[-1]
 
     def _beside(self, word: bytes) -> int:
-        scores, counts = [0.0], [0]  # of the last prefixes
-        for end in range(1, len(word) + 1):
-            top, length = self._last_token(word, end, scores)
-            scores.append(top)
-            counts.append(counts[-length] + 1)
-            if len(scores) > 8 * self.longest:
-                del scores[: -self.longest], counts[: -self.longest]
+        scores, counts = [0.0], [0]
+        for at in range(0, len(word), LONG):
+            self._grow(word, at, min(at + LONG, len(word)), scores, counts)
+            del scores[: -self.longest], counts[: -self.longest]
         return counts[-1]
 
-    def count(self, words: list[bytes]) -> list[int]:
+    def count(self, words: Iterable[str]) -> dict[str, int]:
         """Tokens of the best segmentation of each word."""
-        out = []
+        out = {}
         for word in words:
-            if len(self.best) > NODES:
-                self.clear()
-            out.append(self._insert(word) if len(word) <= LONG else self._beside(word))
+            node = self.ends.get(word)
+            if node is None:
+                code = word.encode()
+                if len(code) > LONG:
+                    out[word] = self._beside(code)
+                    continue
+                if NODE_BYTES * (len(self.best) + len(self.ends)) + self.held > TRIE_BYTES:
+                    self.clear()
+                node = self.ends[word] = self._insert(code)
+                self.held += len(code)
+            out[word] = self.tokens[node]
         return out
 
 
@@ -144,8 +159,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         try:
             for batch in chunks(batches, "text"):
                 cut = [find(t) if t else [] for t in batch.column("text").to_pylist()]
-                words = list(set(chain.from_iterable(cut)))
-                of = dict(zip(words, trie.count([w.encode() for w in words])))
+                of = trie.count(set(chain.from_iterable(cut)))
                 total = [sum(map(of.__getitem__, c)) for c in cut]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(c) for c in cut], pa.int64()), pa.array(total, pa.int64())], ["doc_id", "n_pretokens", "n_tokens"])
         finally:
