@@ -243,11 +243,11 @@ def test_full_caches_do_not_change_ids(monkeypatch):
     assert len(own.ids) == own.ids.held == 0
 
 
-@pytest.mark.parametrize("nodes, long", [(1_000_000, 1_000), (50, 1_000), (1_000_000, 3), (50, 3)])
-def test_trie_of_any_size_counts_alike(monkeypatch, nodes, long):
+@pytest.mark.parametrize("held, long", [(1 << 28, 1_000), (10_000, 1_000), (1 << 28, 5), (10_000, 5)])
+def test_trie_of_any_size_counts_alike(monkeypatch, held, long):
     rng = random.Random(5)
     scores = {bytes([x]): -9.0 + x / 100 for x in b"abc"} | {b"ab": -4.0, b"abc": -8.0, b"ca": -5.0, b"bcab": -9.5, b"aaaa": -6.0}
-    words = ["".join(rng.choices("abc", k=rng.randrange(0, 40))).encode() for _ in range(300)]
+    words = ["".join(rng.choices("abc", k=rng.randrange(0, 40))) for _ in range(300)]
 
     def tokens(word):
         best = [(0.0, 0, 0)]
@@ -255,11 +255,12 @@ def test_trie_of_any_size_counts_alike(monkeypatch, nodes, long):
             best.append(max((best[end - n][0] + scores[word[end - n : end]], n, best[end - n][2] + 1) for n in range(1, min(end, 4) + 1) if word[end - n : end] in scores))
         return best[-1][2]
 
-    monkeypatch.setattr(token_counts, "NODES", nodes)
+    monkeypatch.setattr(token_counts, "TRIE_BYTES", held)
     monkeypatch.setattr(token_counts, "LONG", long)
     trie = token_counts.Trie(*token_counts.endings(scores), 4)
-    assert trie.count(words[:150]) + trie.count(words[150:]) == list(map(tokens, words))
-    if nodes > 50 and long > 40:  # one node for each distinct prefix, the empty one included
+    got = trie.count(words[:200]) | trie.count(words[100:])
+    assert got == {w: tokens(w.encode()) for w in words}
+    if held > 10_000 and long > 40:  # one node for each distinct prefix, the empty one included
         assert len(trie.best) == len({w[:n] for w in words for n in range(len(w) + 1)})
 
 
