@@ -6,12 +6,13 @@ quantile that gives either side its part of the leaves: with an even number of
 leaves the weighted median.  Weights are the rows' bytes.  Quantiles are found by
 counting: a pass adds up the bytes of 4096 equal key ranges of every node, the
 range that holds the quantile is refined by the next pass, until it weighs little
-against a leaf.  A key is a dimension value followed by a hash of the row, so rows
-of equal value can be told apart.  The driver sees one row per node and pass.
+against a leaf or holds one row.  A key is a dimension value followed by a hash of the row, so rows
+of equal value can be told apart.  Nodes and splits are small written tables, joined with the rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,80 +27,82 @@ TOLERANCE = 1 / 500  # of a leaf's bytes
 SLOT_ROWS = 50_000  # about so many rows of a shard are numbered in one task
 
 
-def _lookup(values: dict[int, int | float]) -> Column:
-    """The value of a row's node, from a literal array (one entry per node of the tree)."""
-    some = next(iter(values.values()))
-    entries = [F.lit(values.get(i, 0 * some)) for i in range(max(values) + 1)]
-    return F.element_at(F.array(*entries), F.col("node") + 1)
+def _key(n_dims: int) -> Column:
+    """A row's key in the dimension ``dim``."""
+    return F.element_at(F.array(*(F.col(f"k{i}") for i in range(n_dims))), F.col("dim") + 1)
 
 
-def _tree(node: int, splits: dict[int, tuple[int, int, int, int]], numbers: dict[int, int] | None = None) -> Column:
-    """The leaf of a row, or its number; splits: node -> (dimension, key, left, right)."""
-    if node not in splits:
-        return F.lit(node if numbers is None else numbers[node])
-    dim, at, left, right = splits[node]
-    return F.when(F.col(f"k{dim}") < at, _tree(left, splits, numbers)).otherwise(_tree(right, splits, numbers))
+def _wanted(rows: DataFrame, ranges: list[int]) -> DataFrame:
+    """(first, dim, prefix, rest) of every node: its widest dimension, and the bytes that its left leaves get."""
+    spread = [(F.max(f"k{i}") - F.min(f"k{i}")) / F.lit(max(1, ranges[i])) for i in range(len(ranges))]
+    widest = F.array_max(F.array(*(F.struct(s.alias("spread"), F.lit(-i).alias("dim")) for i, s in enumerate(spread))))
+    nodes = rows.groupBy("first", "leaves").agg(F.sum("size").alias("bytes"), widest.alias("widest"))
+    rest = F.col("bytes") * F.floor(F.col("leaves") / 2) / F.col("leaves")
+    return nodes.select("first", (-F.col("widest.dim")).alias("dim"), F.lit(0).cast("long").alias("prefix"), rest.alias("rest"))
 
 
-def _quantile_keys(rows: DataFrame, n_dims: int, want: dict[int, tuple[int, float]], tolerance: float) -> dict[int, int]:
-    """For each node: the key before which about the wanted bytes lie; want: node -> (dimension, bytes)."""
+def _quantile_keys(rows: DataFrame, ranges: list[int], tolerance: float) -> list[DataFrame]:
+    """Written tables (first, dim, ..., at), a node in one of them: ``at`` is the key to split it at."""
     shift = VALUE_BITS + TIE_BITS
-    state = {n: (0, rest) for n, (_, rest) in want.items()}  # prefix of the key, bytes wanted behind it
-    found: dict[int, int] = {}
-    while state:
+    wanted = tables.written(_wanted(rows, ranges), "kd-wanted")
+    state = wanted
+    by_bin = Window.partitionBy("first").orderBy("bin")
+    found = []
+    while not state.isEmpty():
         width = min(STEP_BITS, shift)
         shift -= width
-        key = F.element_at(F.array(*(F.col(f"k{i}") for i in range(n_dims))), _lookup({n: want[n][0] + 1 for n in state}))
         bins = (
-            rows.where(F.col("node").isin(list(state)))
-            .select("node", "size", F.shiftright(key, shift).alias("bin"))
-            .where(F.shiftright("bin", width) == _lookup({n: p for n, (p, _) in state.items()}))
-            .groupBy("node", "bin")
-            .agg(F.sum("size").alias("bytes"))
+            rows.join(state, "first")
+            .withColumn("bin", F.shiftright(_key(len(ranges)), shift))
+            .where(F.shiftright("bin", width) == F.col("prefix"))
+            .groupBy("first", "dim", "rest", "bin")
+            .agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+            .withColumns({"upto": F.sum("bytes").over(by_bin), "next": F.lead("bin").over(by_bin)})
         )
-        by_bin = Window.partitionBy("node").orderBy("bin")
         hit = (
-            bins.withColumns({"upto": F.sum("bytes").over(by_bin), "next": F.lead("bin").over(by_bin)})
-            .where((F.col("upto") >= _lookup({n: float(r) for n, (_, r) in state.items()})) | F.col("next").isNull())
-            .groupBy("node")
-            .agg(F.min(F.struct("bin", "bytes", "upto")).alias("hit"))
-            .select("node", "hit.*")
+            bins.where((F.col("upto") >= F.col("rest")) | F.col("next").isNull())
+            .groupBy("first", "dim", "rest")
+            .agg(F.min(F.struct("bin", "bytes", "n", "upto")).alias("hit"))
+            .withColumn("rest", F.col("rest") - (F.col("hit.upto") - F.col("hit.bytes")))
         )
-        for r in hit.collect():
-            left = state.pop(r["node"])[1] - (r["upto"] - r["bytes"])
-            if r["bytes"] <= tolerance or not shift:
-                found[r["node"]] = (r["bin"] + (2 * left > r["bytes"])) << shift
-            else:
-                state[r["node"]] = (r["bin"], left)
+        light = (F.col("hit.bytes") <= tolerance) | (F.col("hit.n") == 1) | F.lit(not shift)
+        behind = (F.col("rest") * 2 > F.col("hit.bytes")).cast("long")
+        at = F.when(light, F.shiftleft(F.col("hit.bin") + behind, shift))
+        found.append(tables.written(hit.select("first", "dim", F.col("hit.bin").alias("prefix"), "rest", at.alias("at")), "kd-splits"))
+        state = found[-1].where("at is null").drop("at")
+    tables.drop(wanted)
     return found
 
 
-def kd_leaves(rows: DataFrame, ranges: list[int], leaves: int, tolerance: float) -> Column:
-    """The leaf number (0 to leaves-1) of rows with size and one key k0, k1, ... per dimension.
+def kd_leaves(rows: DataFrame, ranges: list[int], leaves: int, tolerance: float) -> DataFrame:
+    """``rows`` with ``shard``, the leaf number (0 to leaves-1), as a written table.
 
-    ``ranges`` are the keys' overall spreads.
+    Rows have a size and one key k0, k1, ... per dimension; ``ranges`` are the keys' overall
+    spreads.  A node is known by its first leaf's number; its rows carry this and its number of
+    leaves.  Each level splits all its nodes at once and writes the rows anew, so plans are as
+    large for many leaves as for few, and the driver sees no node.  A node without rows
+    keeps its leaves empty.
     """
-    splits: dict[int, tuple[int, int, int, int]] = {}
-    open_nodes = {0: leaves}  # node -> its number of leaves
-    order = {0: 0}  # node -> its first leaf number
-    dims = range(len(ranges))
-    while open_nodes := {n: m for n, m in open_nodes.items() if m > 1}:
-        placed = rows.withColumn("node", _tree(0, splits)).where(F.col("node").isin(list(open_nodes)))
-        spreads = [(F.max(f"k{i}") - F.min(f"k{i}")).alias(f"s{i}") for i in dims]
-        want = {}
-        for r in placed.groupBy("node").agg(F.sum("size").alias("bytes"), *spreads).collect():
-            widest = max(dims, key=lambda i: (r[f"s{i}"] / max(1, ranges[i]), -i))
-            want[r["node"]] = (widest, r["bytes"] * (open_nodes[r["node"]] // 2) / open_nodes[r["node"]])
-        found = _quantile_keys(placed, len(ranges), want, tolerance)
-        following = {}
-        for n, at in sorted(found.items()):  # a node without rows keeps its leaves empty
-            left, right = 2 * len(splits) + 1, 2 * len(splits) + 2
-            splits[n] = (want[n][0], at, left, right)
-            half = open_nodes[n] // 2
-            order[left], order[right] = order[n], order[n] + half
-            following[left], following[right] = half, open_nodes[n] - half
-        open_nodes = following
-    return _tree(0, splits, order)
+    placed = rows.withColumns({"first": F.lit(0), "leaves": F.lit(leaves)})
+    most, last = leaves, None
+    while most > 1:
+        parts = _quantile_keys(placed.where("leaves > 1"), ranges, tolerance)
+        splits = reduce(DataFrame.unionByName, parts).where("at is not null").select("first", "dim", "at") if parts else None
+        if splits is None:
+            break  # no rows
+        half = F.floor(F.col("leaves") / 2).cast("int")
+        right = F.coalesce(_key(len(ranges)) >= F.col("at"), F.lit(False))
+        left = F.col("at").isNotNull() & ~right
+        moved = placed.join(splits, "first", "left").withColumns({
+            "first": F.when(right, F.col("first") + half).otherwise(F.col("first")),
+            "leaves": F.when(right, F.col("leaves") - half).when(left, half).otherwise(F.col("leaves")),
+        })
+        placed = tables.written(moved.drop("dim", "at"), "kd-level")
+        for table in [*parts, *([last] if last else [])]:
+            tables.drop(table)
+        last = placed
+        most = (most + 1) // 2
+    return placed.withColumnRenamed("first", "shard").drop("leaves")
 
 
 def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, metadata: tuple[str, ...] = ("lang", "source", "n_chars")) -> DataFrame:
@@ -134,9 +137,10 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None =
     whole = rows.agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *spreads).first()
     total = whole["bytes"] or 0
     leaves = shards or max(1, ceil(total / target_bytes))
-    number = kd_leaves(rows, [whole[f"s{i}"] or 0 for i in range(len(values))], leaves, total / leaves * TOLERANCE)
-    placed = rows.select("doc_id", "size", "text_crc32", "tie", number.alias("shard"))
-    return number_slots(placed, ceil(whole["n"] / leaves / SLOT_ROWS))
+    placed = kd_leaves(rows, [whole[f"s{i}"] or 0 for i in range(len(values))], leaves, total / leaves * TOLERANCE)
+    if leaves > 1 and whole["n"]:
+        tables.drop(rows)  # the last level's table has them all
+    return number_slots(placed.select("doc_id", "size", "text_crc32", "tie", "shard"), ceil(whole["n"] / leaves / SLOT_ROWS))
 
 
 def number_slots(placed: DataFrame, parts: int) -> DataFrame:

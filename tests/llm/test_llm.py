@@ -424,3 +424,12 @@ def test_held_out_accuracy(spark, name, label, cut):
     sf = "/root/testdata/sf0.1"
     out = queries.queries()[name](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
     assert (out.predicted == out[label]).mean() > 0.97
+
+
+def test_many_shards(spark):
+    """Leaves by the hundred: the plan stays small, every shard is near its part, scratch of the levels goes."""
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.pmod("id", F.lit(7)).cast("int") + 84).alias("text"))
+    got = kd_shards.shard(rows, shards=200, metadata=())
+    sizes = [r.bytes for r in got.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()]
+    assert len(sizes) == 200 and max(sizes) < 1.3 * sum(sizes) / 200
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 20_000
