@@ -207,7 +207,7 @@ def _near(percent: int):
 
 
 def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: int, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set ids whose whole sets link."""
+    """The pairs (a, b) of set ids whose whole sets link, as a written table."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
     chosen = classes.join(ends, "set_id", "left_semi").select("row_key")
     sets = tables.written(shingle_sets(docs, chosen, key, width), "sets")
@@ -217,7 +217,9 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: int, widt
         .withColumn("both", F.size(F.array_intersect("sa", "sb")).cast("long"))
     )
     union = F.size("sa").cast("long") + F.size("sb") - F.col("both")
-    return joined.where(F.col("both") * 100 >= union * percent).select("a", "b")
+    links = tables.written(joined.where(F.col("both") * 100 >= union * percent).select("a", "b"), "links")
+    tables.drop(sets)
+    return links
 
 
 def _classes(docs: DataFrame, width: int, percent: int) -> tuple[int, DataFrame, DataFrame]:
@@ -255,11 +257,14 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     kept = tables.written(
         ranked.where(F.col("rank") > F.when(F.col("next_band"), F.col("spare1")).otherwise(F.col("spare0"))).select("sig", "set_id"), "kept"
     )
+    tables.drop(shared)
     sides = classes.select("set_id", "n", *PARITY)
     stars = kept.join(kept.groupBy("sig").agg(F.min("set_id").alias("a")), "sig").where("a <> set_id").select("a", F.col("set_id").alias("b")).distinct()
     stars = tables.written(_close(stars, sides, percent), "stars")
-    links = tables.written(verify(docs, classes, stars, key, width, percent), "links")
-    first = tables.written(tables.components(links), "first")
+    links = verify(docs, classes, stars, key, width, percent)
+    found = tables.components(links)
+    first = tables.written(found, "first")
+    tables.drop(found)
 
     # Members of a signature that are not in one component yet: all their pairs but the stars.
     # Near copies share many signatures, most of them with one centre, the smallest member; the
@@ -275,6 +280,8 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(sig), 64) as int))")
     around = placed.join(mixed, "sig").groupBy("centre", "set_id", "component").agg(F.bit_or(bit).alias("shared"))
     members = tables.written(around.join(sides, "set_id"), "members")
+    tables.drop(kept)
+    tables.drop(first)
     cells = _cells(members)
     x, y = cells.alias("x"), cells.alias("y")
     meet = F.expr("x.centre = y.centre and x.i = y.i and x.j = y.j and x.component <> y.component and x.shared & y.shared <> 0")
@@ -286,8 +293,13 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         .join(stars, ["a", "b"], "left_anti")
     )
     rest = tables.written(rest, "rest")
+    tables.drop(members)
+    tables.drop(stars)
     more = verify(docs, classes, rest, key, width, percent)
-    nodes = tables.components(tables.written(links.unionByName(more), "all-links"))
+    tables.drop(rest)
+    nodes = tables.components(links.unionByName(more))
+    tables.drop(links)
+    tables.drop(more)
 
     placed = classes.select("set_id", "low_id").join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "set_id"))

@@ -35,7 +35,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop(df: DataFrame) -> None:
-    """Delete a table made by ``written`` that no later step reads."""
+    """Delete the table of ``written`` or ``components`` that no later step reads."""
     spark, path = df.sparkSession, df._scratch
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -46,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the undirected edges (a, b) of non-null longs.
 
     Alternating large-star and small-star steps; the component is the smallest
-    node.  Every step is a grouped minimum (combined before the shuffle) and a
+    node.  The result reads a written table, which ``drop`` of the result deletes.  Every step is a grouped minimum (combined before the shuffle) and a
     join, so a node with very many neighbours is never gathered in one place.
     """
     current = written(
@@ -75,4 +75,6 @@ def components(edges: DataFrame) -> DataFrame:
             break
         state = now
     roots = current.select(F.col("b").alias("a"), "b").distinct()
-    return current.unionByName(roots).select(F.col("a").alias("node"), F.col("b").alias("component"))
+    out = current.unionByName(roots).select(F.col("a").alias("node"), F.col("b").alias("component"))
+    out._scratch = current._scratch
+    return out
