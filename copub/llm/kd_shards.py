@@ -77,13 +77,13 @@ def _quantile_keys(rows: DataFrame, ranges: list[int], tolerance: float) -> list
 def kd_leaves(rows: DataFrame, ranges: list[int], leaves: int, tolerance: float) -> DataFrame:
     """``rows`` with ``shard``, the leaf number (0 to leaves-1), as a written table.
 
-    Rows have a size and one key k0, k1, ... per dimension; ``ranges`` are the keys' overall
-    spreads.  A node is known by its first leaf's number; its rows carry this and its number of
+    Rows are a written table with a size, one key k0, k1, ... per dimension, and ``first``, 0 (read, not
+    a literal, so that the first level's joins have a key too); ``ranges`` are the keys' overall spreads.  A node is known by its first leaf's number; its rows carry this and its number of
     leaves.  Each level splits all its nodes at once and writes the rows anew, so plans are as
     large for many leaves as for few, and the driver sees no node.  A node without rows
     keeps its leaves empty.
     """
-    placed = rows.withColumns({"first": F.lit(0), "leaves": F.lit(leaves)})
+    placed = rows.withColumn("leaves", F.lit(leaves))
     most, last = leaves, None
     while most > 1:
         parts = _quantile_keys(placed.where("leaves > 1"), ranges, tolerance)
@@ -132,7 +132,7 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None =
     tie = F.pmod(F.xxhash64("doc_id", text, F.monotonically_increasing_id()), F.lit(2**TIE_BITS))
     rows = docs.select("doc_id", size.alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), tie.alias("tie"), *(v.cast("long").alias(f"v{i}") for i, v in enumerate(values)))
     keys = [(F.shiftleft(f"v{i}", TIE_BITS) + F.col("tie")).alias(f"k{i}") for i in range(len(values))]
-    rows = tables.written(rows.select("doc_id", "size", "text_crc32", "tie", *keys), "kd-rows")
+    rows = tables.written(rows.select("doc_id", "size", "text_crc32", "tie", F.lit(0).alias("first"), *keys), "kd-rows")
     spreads = [(F.max(f"k{i}") - F.min(f"k{i}")).alias(f"s{i}") for i in range(len(values))]
     whole = rows.agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *spreads).first()
     total = whole["bytes"] or 0

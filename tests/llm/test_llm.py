@@ -426,8 +426,15 @@ def test_held_out_accuracy(spark, name, label, cut):
     assert (out.predicted == out[label]).mean() > 0.97
 
 
-def test_many_shards(spark):
-    """Leaves by the hundred: the plan stays small, every shard is near its part, scratch of the levels goes."""
+def test_many_shards(spark, monkeypatch):
+    """Leaves by the hundred: the plan stays small, no step is a nested loop, every shard is near its part."""
+    write = kd_shards.tables.written
+
+    def written(df, name):
+        assert "NestedLoopJoin" not in df._jdf.queryExecution().executedPlan().toString(), name
+        return write(df, name)
+
+    monkeypatch.setattr(kd_shards.tables, "written", written)
     rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.pmod("id", F.lit(7)).cast("int") + 84).alias("text"))
     got = kd_shards.shard(rows, shards=200, metadata=())
     sizes = [r.bytes for r in got.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()]
