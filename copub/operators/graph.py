@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from copub.functions.columns import ratio
-from copub.session import delete_path, scratch_path
+from copub.session import delete_path, scratch_path, tasks_for
 
 # Chart titles of the metric series (fixed values of the report).
 METRIC_TITLES = {
@@ -59,6 +59,7 @@ def authorship_rows(authorship: DataFrame) -> DataFrame:
 
 # Papers with more authors than this are paired block by block.
 BLOCK_AUTHORS = 2048
+PAIR_BYTES = 2 << 20  # input files per task that makes pairs
 
 
 def _sized(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
@@ -73,7 +74,7 @@ def _sized(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
     return rows.join(sizes.select(*keys, F.ceil(F.col("_n") / block).cast("int").alias("_s")), keys, "left")
 
 
-def _heavy_pairs(heavy: DataFrame, keys: list[str]) -> DataFrame:
+def _heavy_pairs(heavy: DataFrame, keys: list[str], tasks: int) -> DataFrame:
     """Ordered pairs of the heavy papers' authors, cell by cell.
 
     A paper of s blocks has s x s cells.  An author of block b is a left author of the cells
@@ -87,7 +88,7 @@ def _heavy_pairs(heavy: DataFrame, keys: list[str]) -> DataFrame:
         F.struct(F.col("_b").alias("i"), F.col("_o").alias("j"), F.lit(True).alias("left")),
         F.struct(F.col("_o").alias("i"), F.col("_b").alias("j"), F.lit(False).alias("left")),
     )
-    dealt = placed.select(*keys, "author_id", F.explode(sides).alias("c")).select(*keys, "author_id", "c.*").repartition(*keys, "i", "j")
+    dealt = placed.select(*keys, "author_id", F.explode(sides).alias("c")).select(*keys, "author_id", "c.*").repartition(tasks, *keys, "i", "j")
     cells = dealt.groupBy(*keys, "i", "j").agg(
         F.collect_list(F.when(F.col("left"), F.col("author_id"))).alias("_l"), F.collect_list(F.when(~F.col("left"), F.col("author_id"))).alias("_r")
     )
@@ -101,9 +102,13 @@ def _crossed(baskets: DataFrame, keys: list[str], left: str, right: str) -> Data
 
 
 def _pairs(rows: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
+    # authors are few bytes and pairs many: the number of tasks is set, for AQE would join many partitions
+    # of authors into one task, whose partial aggregation then holds the pairs of them all
+    # (and one more than the session's partitions, for Spark drops a repartition like the one before it)
+    tasks = tasks_for(rows, PAIR_BYTES) + 1
     sized = _sized(rows, keys, block_authors)
-    light = sized.where(F.col("_s").isNull()).groupBy(*keys).agg(F.collect_list("author_id").alias("_a"))
-    return _crossed(light, keys, "_a", "_a").unionByName(_heavy_pairs(sized.where(F.col("_s").isNotNull()), keys))
+    light = sized.where(F.col("_s").isNull()).repartition(tasks, *keys).groupBy(*keys).agg(F.collect_list("author_id").alias("_a"))
+    return _crossed(light, keys, "_a", "_a").unionByName(_heavy_pairs(sized.where(F.col("_s").isNotNull()), keys, tasks))
 
 
 def coauthor_pairs(authorship: DataFrame, block_authors: int = BLOCK_AUTHORS) -> DataFrame:

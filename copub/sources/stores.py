@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from copub.session import tasks_for
+
 VERTEX_SCHEMA = "id bigint, year int"
 EDGE_SCHEMA = "src bigint, dst bigint, number_coll bigint, year int"
 COUNT_SCHEMA = "author_id bigint, collab_id bigint, n bigint, year int"
@@ -62,13 +64,19 @@ def read_ego(spark: SparkSession, path: str, with_names: bool = True):
     return counts, papers, names
 
 
-BUCKETS = 64  # tasks that read a bucketed graph; some thousands for a very large one
+BUCKETS = 64  # the least number of tasks that read a bucketed graph
+BUCKET_BYTES = 8 << 20  # input files per bucket of a larger one
 _BUCKETED = {"vertices": ("year int, id bigint", ["year", "id"]), "edges": ("year int, src bigint, dst bigint, number_coll bigint", ["year", "src"])}
 
 
 def write_bucketed_graph(vertices: DataFrame, edges: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Write a graph with vertices bucketed by (year, id) and edges by (year, src); a path that holds one is refused."""
+    """Write a graph with vertices bucketed by (year, id) and edges by (year, src); a path that holds one is refused.
+
+    ``buckets`` is the least number: a graph made from large files gets more, so that a bucket, which
+    one task sorts and reads, does not grow with them.
+    """
     spark, base = vertices.sparkSession, path.rstrip("/")
+    buckets = tasks_for(edges, BUCKET_BYTES, int(buckets))
     spark.range(1).select(F.lit(int(buckets)).alias("buckets")).coalesce(1).write.parquet(f"{base}/layout")
     for name, rows in (("vertices", vertices), ("edges", edges)):
         schema, keys = _BUCKETED[name]
