@@ -42,3 +42,20 @@ def test_buckets_grow_with_the_input(spark, authorship, tmp_dir, monkeypatch):
     assert spark.read.parquet(f"{path}/layout").first()["buckets"] == -(-input_bytes(authorship) // 1000) > 2
     got = graph.vertex_degrees(*stores.read_bucketed_graph(spark, path))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, graph.vertex_degrees(v, e).collect()))
+
+
+def test_authorship_is_dealt_before_it_is_made_distinct(spark, monkeypatch):
+    from copub.plans import fixtures as fx
+
+    from conftest import SF_SMALL
+
+    for make in (fx.authorship_dense, fx.authorship_sparse):
+        monkeypatch.setattr(fx, "DISTINCT_BYTES", 2 << 20)
+        want = sorted(map(tuple, make(spark, SF_SMALL).collect()))
+        assert len(want) == len(set(want))
+        monkeypatch.setattr(fx, "DISTINCT_BYTES", 4000)
+        got = make(spark, SF_SMALL)
+        assert sorted(map(tuple, got.collect())) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        (tasks,) = set(re.findall(r", (\d+)\), REPARTITION_BY_NUM", plan))
+        assert int(tasks) > int(spark.conf.get("spark.sql.shuffle.partitions"))
