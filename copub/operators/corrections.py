@@ -8,7 +8,8 @@ rebuild would: edges and vertices whose sum becomes 0 are gone.
 
 Tables: *papers* ``(paper_id, year, authors)``, one row per id; *signed papers* with ``sign``;
 *edges* ``(year, src, dst, number_coll)``; *vertices* ``(year, id, papers)``, the number of papers
-being what keeps a vertex.
+being what keeps a vertex.  Both directions of an edge change alike, so what is paired, summed and stored
+is the *half* of the edges with ``src < dst``; ``both_ways`` gives the other one.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from copub.operators import graph
+from copub.session import tasks_for
+
+SUM_BYTES = 2 << 20  # input files per task that adds edges up; a stored edge is a few bytes, in a task's memory many
 
 
 def _version(year, authors):
@@ -40,11 +44,33 @@ def signed_papers(papers: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def edge_delta(signed: DataFrame, block_authors: int = graph.BLOCK_AUTHORS) -> DataFrame:
     """``(year, src, dst, number_coll)``: by how much each edge changes.  Heavy papers are paired in blocks."""
-    rows = signed.select("paper_id", "year", "sign", F.explode("authors").alias("author_id")).where("year is not null")
-    pairs = graph._pairs(rows, ["paper_id", "year", "sign"], block_authors)
+    return both_ways(half_delta(signed, block_authors))
+
+
+def half_delta(signed: DataFrame, block_authors: int = graph.BLOCK_AUTHORS) -> DataFrame:
+    """``edge_delta`` of the edges with ``src < dst``.
+
+    The authors of a row are a set already, so they are paired where they lie; rows are dealt
+    first, as pairs are many more than the bytes of a scan's split tell.
+    """
+    rows = signed.where("year is not null").select("paper_id", "year", "sign", "authors")
+    dealt = rows.repartition(tasks_for(rows, graph.PAIR_BYTES) + 1, "paper_id")
+    pairs = graph._list_pairs(dealt, ["year", "sign"], block_authors).where("src < dst")
     return pairs.groupBy("year", "src", "dst").agg(F.sum("sign").cast("bigint").alias("number_coll")).where("number_coll <> 0")
 
 
+def both_ways(half: DataFrame) -> DataFrame:
+    """Each edge of the half, and its other direction."""
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return half.select("year", F.explode(ways).alias("e"), "number_coll").select("year", "e.src", "e.dst", "number_coll")
+
+
+def sum_half(rows: DataFrame) -> DataFrame:
+    """``sum_edges`` of the half; rows are dealt before they are summed, as those of one segment are all different."""
+    rows = rows.where("src < dst")
+    return sum_edges(rows.repartition(tasks_for(rows, SUM_BYTES) + 1, "year", "src", "dst"))
+
+
 def vertex_delta(signed: DataFrame) -> DataFrame:
     """``(year, id, papers)``: by how many papers each vertex changes."""
     rows = signed.select("year", F.explode("authors").alias("id"), "sign").where("year is not null")

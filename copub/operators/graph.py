@@ -133,17 +133,18 @@ def coauthor_pairs_from_papers(papers: DataFrame, block_authors: int = BLOCK_AUT
     longer than ``block_authors`` is cut into blocks that are dealt out with
     the whole list, so one long list is paired by many tasks.
     """
+    return _list_pairs(papers, ["year"], block_authors).where(F.col("src") != F.col("dst"))
+
+
+def _list_pairs(papers: DataFrame, keys: list[str], block_authors: int) -> DataFrame:
+    """``keys, src, dst`` of any two entries of a row's ``authors``, an entry and itself too."""
     block = F.lit(int(block_authors))
-    short = papers.where(F.size("authors") <= block).select("year", "authors", F.col("authors").alias("some"))
+    short = papers.where(F.size("authors") <= block).select(*keys, "authors", F.col("authors").alias("some"))
     starts = F.sequence(F.lit(1), F.size("authors"), block)
-    long = papers.where(F.size("authors") > block).select("year", "authors", F.explode(starts).alias("at"))
-    long = long.repartition("at", F.xxhash64("authors")).select("year", "authors", F.slice("authors", F.col("at"), block).alias("some"))
-    return (
-        short.unionByName(long)
-        .select("year", "authors", F.explode("some").alias("src"))
-        .select("year", "src", F.explode("authors").alias("dst"))
-        .where(F.col("src") != F.col("dst"))
-    )
+    long = papers.where(F.size("authors") > block).select(*keys, "authors", F.explode(starts).alias("at"))
+    long = long.repartition("at", F.xxhash64("authors")).select(*keys, "authors", F.slice("authors", F.col("at"), block).alias("some"))
+    one = short.unionByName(long).select(*keys, "authors", F.explode("some").alias("src"))
+    return one.select(*keys, "src", F.explode("authors").alias("dst"))
 
 
 def authorship_from_papers(papers: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 import os
 import random
+import re
 
 import pytest
 
 from copub.operators import corrections, graph
+from copub.session import tasks_for
 from copub.sources import papers_csv, stores
 from copub.streaming import corrected_graph, segments
 
@@ -109,3 +111,53 @@ def test_csv_rows_that_cannot_be_read_lie_aside(spark, tmp_dir):
     assert aside[2].defects == ["year"] and aside[4].defects == ["authors"] and aside[None].defects == ["paper id"]
     assert "line" in aside[5].defects and aside[5].line.startswith("5,2019")
     assert aside[None].line.startswith("x3,2019,d3,")
+
+
+def test_a_batch_pairs_half_and_its_tasks_grow_with_the_input(spark, tmp_dir, monkeypatch):
+    sink, rng = os.path.join(tmp_dir, "sink"), random.Random(7)
+    papers = {i: (2000 + i % 3, rng.sample(range(60), 4)) for i in range(600)}
+    corrected_graph.add_papers(spark.createDataFrame([(i, *p) for i, p in papers.items()], KIND), 0, sink)
+    # a pair is stored once, and what a single segment holds is read without adding up
+    assert spark.read.parquet(f"{sink}/segments/batch-0/edges").where("src >= dst").count() == 0
+    for rows in (corrected_graph.read_edges(spark, sink), corrected_graph.read_vertices(spark, sink)):
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert_current(spark, sink, papers)
+    # lists are paired where they lie, dealt by the size of their files
+    monkeypatch.setattr(graph, "PAIR_BYTES", 100)
+    source = os.path.join(tmp_dir, "signed")
+    spark.createDataFrame([(i, *p, 1) for i, p in papers.items()], KIND + ", sign int").write.parquet(source)
+    signed = spark.read.parquet(source)
+    plan = corrections.half_delta(signed)._jdf.queryExecution().executedPlan().toString()
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(paper_id#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert dealt and set(dealt) == {tasks_for(signed, 100) + 1} and dealt[0] > 9 and "collect_list" not in plan
+    # and so are stored edges before they are added up
+    monkeypatch.setattr(corrections, "SUM_BYTES", 100)
+    stored = segments.read(spark, sink, "edges", corrected_graph.SCHEMAS["edges"])
+    plan = corrections.sum_half(stored)._jdf.queryExecution().executedPlan().toString()
+    assert f"{tasks_for(stored, 100) + 1}), REPARTITION_BY_NUM" in plan
+
+
+def test_a_sink_with_both_directions_stays_right(spark, tmp_dir, monkeypatch):
+    sink, papers = os.path.join(tmp_dir, "sink"), {1: (2000, [1, 2, 3]), 2: (2000, [1, 2])}
+    with monkeypatch.context() as m:  # as sinks were written before
+        m.setattr(corrections, "half_delta", lambda signed: spark.createDataFrame(
+            [(y, s, d, n) for (y, s, d), n in rebuilt(papers)[0].items()], corrected_graph.SCHEMAS["edges"]))
+        corrected_graph.add_papers(spark.createDataFrame([(i, *p) for i, p in papers.items()], KIND), 0, sink, fan=2)
+    assert_current(spark, sink, papers)
+    corrected_graph.add_papers(spark.createDataFrame([(2, 2001, [1, 3])], KIND), 1, sink, fan=2)
+    assert_current(spark, sink, papers | {2: (2001, [1, 3])})
+
+
+def test_corrected_papers_are_made_once(spark, monkeypatch):
+    from copub.plans import catalog, fixtures
+
+    from conftest import SF_SMALL
+
+    made = []
+    join = fixtures._lines_with_dates
+    monkeypatch.setattr(fixtures, "_lines_with_dates", lambda *a: made.append(1) or join(*a))
+    read = []
+    monkeypatch.setattr(corrected_graph, "add_papers", lambda rows, *a, **k: read.append(rows.inputFiles()))
+    monkeypatch.setattr(catalog, "_WRITTEN", {})
+    catalog._corrected_graph(spark, SF_SMALL)
+    assert len(made) == 1 and len(read) == 3 and not any("lineitem" in f for files in read for f in files)
